@@ -6,17 +6,61 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontam, html_text, lang_id, licenses, line_dedup, lm, media, mixing, near_dup, pii
 from .common import read
-from .near_dup import near_duplicates
+
+
+def op1_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.duplicate_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.selectExpr("doc_id", "n_lines", "n_removed", "concat_ws(',', transform(removed, x -> cast(x as string))) AS removed")
 
 
 def op3_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), k=2, percent=80)
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), k=2, percent=80)
+
+
+def op4_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op5_context_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model_scores(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.language_id(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op7_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def op9_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_setsketch_near_dup": op3_setsketch_near_dup}
+    own = (op1_disclosure_pii, op2_segment_line_dedup, op3_setsketch_near_dup, op4_url_differencing, op5_context_mixing_lm, op6_crf_language_id, op7_iso_media, op8_sainte_lague_mix, op9_spaced_seed_decontamination, op10_license_scan, pipeline)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_spaced_seed_decontamination": decontam.ORACLE}
