@@ -32,7 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKED = frozenset("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent footer header menu nav navbar navigation newsletter notice notices pagination popup promo related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget disqus".split())
 #: An element that implies the end of an open one: block starts end a paragraph, an item ends an item, and so on.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-CONTENT = frozenset(("article", "main"))
+CONTENT = {"main": 1, "article": 2}
 
 
 def _marked(attributes: str) -> bool:
@@ -43,10 +43,10 @@ def _marked(attributes: str) -> bool:
 
 def lines(page: str | None) -> list[tuple[str, bool]]:
     """(text, in an article) of the page's blocks, in order, without dropped elements and empty blocks."""
-    out: list[tuple[str, bool]] = []
+    out: list[tuple[str, int]] = []
     if not page:
-        return out
-    open_: list[tuple[str, bool, bool]] = []  # name, dropped, in article
+        return []
+    open_: list[tuple[str, bool, int]] = []  # name, dropped, depth of content: 1 in main, 2 in an article
     parts: list[str] = []
     at, end = 0, len(page)
 
@@ -55,7 +55,7 @@ def lines(page: str | None) -> list[tuple[str, bool]]:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                out.append((text, bool(open_) and open_[-1][2]))
+                out.append((text, open_[-1][2] if open_ else 0))
 
     def close(i: int):
         if any(o[0] in BLOCKS for o in open_[i:]):
@@ -102,7 +102,7 @@ def lines(page: str | None) -> list[tuple[str, bool]]:
                 if open_[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
         dropped = bool(open_) and open_[-1][1]
-        inside = bool(open_) and open_[-1][2]
+        inside = open_[-1][2] if open_ else 0
         if name in VOID:
             if name == "br" and not dropped:
                 parts.append(" ")
@@ -117,9 +117,10 @@ def lines(page: str | None) -> list[tuple[str, bool]]:
                 at = stop.end() if stop else end
             continue
         if not m[3].rstrip().endswith("/"):
-            open_.append((name, gone, inside or name in CONTENT))
+            open_.append((name, gone, max(inside, CONTENT.get(name, 0))))
     flush()
-    return out
+    deepest = max((depth for _, depth in out), default=0)
+    return [(text, depth > 0 and depth == deepest) for text, depth in out]
 
 
 def common_lines(a: list, b: list) -> set[int]:

@@ -24,6 +24,7 @@ def test_blocks():
     page = '<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="x">menu</a></li></ul></nav><div class="ad big">buy</div><article><header><h1>A &amp; B</h1></header><p><b>one<br>two<p>three  &eacute;\n x<ul><li>i1<li>i2</ul><aside>side</aside><form>f</form><div id="comments"><p>c</p></div><!-- <p>no</p> --></article><footer>foot</footer></body></html>'
     assert [t for t, inside in lines(page) if inside] == ["A & B", "one two", "three é x", "i1", "i2"]
     assert [t for t, inside in lines(page) if not inside] == []
+    assert [t for t, inside in lines("<main><p>crumbs</p><article>text</article></main>") if inside] == ["text"] and lines("<main>text</main>") == [("text", True)]
     assert lines(None) == [] and lines("") == [] and lines("a < b <p>c") == [("a < b", False), ("c", False)]
 
 
