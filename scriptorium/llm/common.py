@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,3 +60,21 @@ def ascii_words(text: str | None) -> list[bytes]:
 
 def text_rows(batch, *names: str) -> Iterator[tuple]:
     return zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+
+
+#: Slots of a membership bitmap: a prime below 2**26, so 8 MB however many values it covers.
+SLOTS = 67_108_859
+
+
+def membership(values: DataFrame, column: str) -> np.ndarray:
+    """Bitmap of a long column, of fixed size: a prefilter that lets every member pass, and few others while sparse."""
+    slots = values.select(F.pmod(column, F.lit(SLOTS)).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits")).toArrow()
+    out = np.zeros((SLOTS >> 6) + 1, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def maybe_members(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = np.mod(values, SLOTS)
+    return (bitmap[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)

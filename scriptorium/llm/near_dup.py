@@ -5,10 +5,12 @@ distribution (exponentially spaced, truncated), dealt over the registers by its
 smallest point it meets, as floor(OFFSET - log_B point) in one byte. Points of interval j + 1 exceed all of interval j,
 so a document stops at the first interval that has filled its registers. Sketches merge by the larger byte.
 
-Candidates. ROWS registers form a band; documents with one band in common are candidates (a pair at similarity 0.8 is
-missed with probability (1 - 0.8**ROWS)**BANDS, 6e-5). Equal shingle sets are one class beforehand. In a bucket, all
-classes first meet the smallest one; what those links leave apart is then joined within the bucket, under a fingerprint
-condition inside the join. So a group of n near copies costs about n pairs.
+Candidates. ROWS registers form a band, from the first ROWS * BANDS registers; documents with one band in common are
+candidates (a pair at similarity 0.8 is missed with probability (1 - 0.8**ROWS)**BANDS, 6e-5). Equal shingle sets are
+one class beforehand. In a bucket, all classes first meet one seeded center, another in each bucket, so a class meets as
+many centers as it has buckets. What is still apart is then joined within the bucket, under a condition inside the join:
+exact for sets of up to EXACT shingles, by fingerprints for larger ones. So a group of n near copies costs about n
+pairs, and no link between components is lost.
 
 Verification. Pairs pass a joint maximum-likelihood estimate over registers, then an exact comparison of full sets.
 """
@@ -21,17 +23,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, ascii_words, cut
+from .common import WordIds, ascii_words, cut, maybe_members, membership
 from .graph import connected_components
 
 ROWS, BANDS = 6, 32
-REGISTERS = ROWS * BANDS
+REGISTERS = 384
 #: A prime just above REGISTERS: start and stride modulo it are a permutation.
-PRIME = 193
+PRIME = 389
 BASE, OFFSET = 1.1, 24.0
-#: A pair goes on if the fingerprint or likelihood estimate is within this much of the threshold: 5 standard errors.
-SLACK = 0.22
-LOOSE_SIGNATURE = 3
+#: A pair goes on if its estimate is within so much of the threshold: 4.5 standard errors of each estimate at 0.8.
+FINGERPRINT_SLACK, SLACK = 0.11, 0.09
+#: Sets of up to so many shingles travel with the bucket join and are compared there.
+EXACT = 256
+#: 64-bit words of a fingerprint: two mixed bits a register.
+FINGERPRINT = REGISTERS * 2 // 64
 _P1, _P2, _P3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -81,15 +86,16 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """(documents, BANDS): the register bytes of each band, with the band's number."""
     out = np.zeros((len(regs), BANDS, 8), np.uint8)
-    out[:, :, :ROWS] = regs.reshape(len(regs), BANDS, ROWS)
+    out[:, :, :ROWS] = regs[:, : ROWS * BANDS].reshape(len(regs), BANDS, ROWS)
     out[:, :, ROWS] = np.arange(BANDS)
     return out.view(np.int64).reshape(len(regs), BANDS)
 
 
 def fingerprints(regs: np.ndarray) -> np.ndarray:
-    """(documents, 3): one mixed bit of each register; equal registers agree, others agree half the time."""
-    bit = (_mix(regs.astype(np.uint64) + np.arange(REGISTERS, dtype=np.uint64) * _P1) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bit, axis=1).view(np.int64)
+    """(documents, FINGERPRINT): two mixed bits of each register; unequal registers agree in both a quarter of the time."""
+    mixed = _mix(regs.astype(np.uint64) + np.arange(REGISTERS, dtype=np.uint64) * _P1)
+    two = np.stack([mixed & np.uint64(1), mixed >> np.uint64(1) & np.uint64(1)], axis=2).astype(np.uint8)
+    return np.packbits(two.reshape(len(regs), -1), axis=1).view(np.int64)
 
 
 _GRID = np.linspace(0.0, 1.0, 101)
@@ -135,7 +141,7 @@ def _sketched(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         docs.slice(lo, 1024).cast(pa.int64()),
-                        pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets], pa.int64()),
+                        pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         _lists(band_keys(regs)),
                         _lists(fingerprints(regs)),
@@ -147,22 +153,27 @@ def _sketched(k: int):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, shared):
+    """(nid, shingles, exact) of the documents that a broadcast bitmap of doc_ids lets pass."""
+
     def run(batches):
         ids = WordIds()
         for batch in batches:
+            own = batch.column(0).fill_null(0).to_numpy()
+            batch = batch.filter(pa.array(maybe_members(shared.value, own)))
             for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                rows = []
-                for nid, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    s = shingle_set(ids.array(ascii_words(text)), k)
-                    if len(s) and xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 == nid:
-                        rows.append((nid, s.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["nid", "shingles"])
+                sets = [shingle_set(ids.array(ascii_words(t)), k) for t in batch.column(1).slice(lo, 512).to_pylist()]
+                sets = [s for s in sets if len(s)]
+                exact = [s.view(np.int64) if len(s) <= EXACT else None for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(exact, pa.list_(pa.int64()))], ["nid", "shingles", "exact"])
 
     return run
 
 
+def _class(s: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
+
+
 def _likely(threshold: float):
     def run(batches):
         for batch in batches:
@@ -188,9 +199,13 @@ def _verified(num: int, den: int):
 
 def _plausible(threshold: float) -> F.Column:
     """Of aliased classes p and q: sizes allow the threshold, and fingerprints agree often enough."""
-    differ = sum((F.bit_count(F.col("p.bits")[i].bitwiseXOR(F.col("q.bits")[i])) for i in range(LOOSE_SIGNATURE)), F.lit(0))
+    def word(i: int) -> F.Column:
+        x = F.col("p.bits")[i].bitwiseXOR(F.col("q.bits")[i])
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    differ = sum((word(i) for i in range(1, FINGERPRINT)), word(0))
     sizes = (F.col("p.n") >= threshold * F.col("q.n") - 1e-9) & (F.col("q.n") >= threshold * F.col("p.n") - 1e-9)
-    return sizes & (differ <= int(REGISTERS * (1 - (threshold - SLACK)) / 2))
+    return sizes & (differ <= int(REGISTERS * 0.75 * (1 - threshold + FINGERPRINT_SLACK)))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -208,22 +223,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     full = sketch.filter("nid is not null")
     classes = cut(full.groupBy("nid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "keys", "bits", "regs"))), "classes")
     rows = classes.select("nid", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("nid").alias("center"), F.max("nid").alias("last")).filter("center < last").select("key", "center")
-    members = cut(rows.join(shared, "key"), "members")
-
+    shared = rows.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo < hi").select("key")
     small = classes.select("nid", "n", "bits")
-    star = members.filter("nid <> center").select("center", "nid").distinct()
-    star = star.join(small.select(F.col("nid").alias("center"), F.struct("n", "bits").alias("p")), "center").join(small.select("nid", F.struct("n", "bits").alias("q")), "nid").filter(_plausible(threshold)).select(F.col("center").alias("x"), F.col("nid").alias("y"))
-    edges = cut(_links(plain, classes, cut(star, "star"), k, percent), "links")
+    members = cut(rows.join(shared, "key").withColumn("label", F.col("nid")), "members")
+    sets = cut(_set_table(plain, classes, members.select("nid").distinct(), k), "sets")
+    star = cut(_star_pairs(members, small, threshold), "star")
+    edges = cut(_links(star, classes, sets, percent), "links")
     roots = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
-
-    labelled = members.join(roots.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    apart = cut(labelled.join(mixed, "key").join(small, "nid"), "apart")
-    pairs = apart.alias("p").join(apart.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & _plausible(threshold)).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y")).distinct()
-    pairs = cut(pairs.join(star, ["x", "y"], "left_anti"), "pairs")
-    more = _links(plain, classes, pairs, k, percent)
-    edges = cut(edges.unionAll(more), "links")
+    pairs = cut(_all_pairs(_apart(members, roots), small, sets, percent).join(star, ["x", "y"], "left_anti"), "pairs")
+    edges = cut(edges.unionAll(_links(pairs, classes, sets, percent)), "links")
     roots = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
     by_root = sketch.select("doc_id", "n", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
@@ -233,13 +241,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """members(key, nid) of the buckets that hold several components, with their labels."""
+    labelled = members.select("key", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("label"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    return labelled.join(mixed, "key")
+
+
+def _star_pairs(members: DataFrame, small: DataFrame, threshold: float) -> DataFrame:
+    """Plausible pairs (x, y), x < y, of each bucket's seeded center and its other members."""
+    centers = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "nid").alias("draw"), "nid")).getField("nid").alias("center"))
+    pairs = members.join(centers, "key").filter("nid <> center").select(F.least("center", "nid").alias("x"), F.greatest("center", "nid").alias("y")).distinct()
+    side = lambda c, to: small.select(F.col("nid").alias(c), F.struct("n", "bits").alias(to))
+    return pairs.join(side("x", "p"), "x").join(side("y", "q"), "y").filter(_plausible(threshold)).select("x", "y")
+
+
+def _all_pairs(members: DataFrame, small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs (x, y), x < y, of members of different components within a bucket; small sets are compared exactly."""
+    full = cut(members.join(small, "nid").join(sets.select("nid", "exact"), "nid", "left"), "full")
+    both = F.size(F.array_intersect("p.exact", "q.exact"))
+    alike = F.col("p.exact").isNull() | F.col("q.exact").isNull() | (100 * both >= percent * (F.col("p.n") + F.col("q.n") - both))
+    same = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & _plausible(percent / 100) & alike
+    return full.alias("p").join(full.alias("q"), same).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y")).distinct()
+
+
+def _set_table(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(nid, shingles, exact): full sets of the wanted classes, read again from one document each."""
+    first = wanted.join(classes.select("nid", "doc_id"), "nid").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
+    some = docs.sparkSession.sparkContext.broadcast(membership(first, "doc_id"))
+    return docs.mapInArrow(_sets(k, some), "nid long, shingles binary, exact array<bigint>").join(wanted, "nid", "left_semi").dropDuplicates(["nid"])
+
+
+def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) of classes that pass the likelihood estimate and the exact comparison."""
     side = lambda c: classes.select(F.col("nid").alias(c), F.col("n").alias(f"{c}n"), F.col("regs").alias(f"{c}r"))
     likely = cut(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(_likely(percent / 100), "x long, y long"), "likely")
-    needed = likely.select(F.explode(F.array("x", "y")).alias("nid")).distinct()
-    needed = needed.join(classes.select("nid", "doc_id"), "nid")
-    texts = docs.join(needed, docs.doc_id.eqNullSafe(needed.doc_id)).select("nid", "text")
-    sets = cut(texts.mapInArrow(_sets(k), "nid long, shingles binary").dropDuplicates(["nid"]), "sets")
-    both = likely.join(sets.select(F.col("nid").alias("x"), F.col("shingles").alias("xs")), "x").join(sets.select(F.col("nid").alias("y"), F.col("shingles").alias("ys")), "y")
-    return both.mapInArrow(_verified(percent, 100), "x long, y long")
+    full = lambda c: sets.select(F.col("nid").alias(c), F.col("shingles").alias(f"{c}s"))
+    return likely.join(full("x"), "x").join(full("y"), "y").mapInArrow(_verified(percent, 100), "x long, y long")
