@@ -41,6 +41,10 @@ def _seeds(array: str, at: str, lengths: list[int]) -> Column:
     return F.array(*spaced, *whole)
 
 
+def _pair(array: str, at: str) -> Column:
+    return F.xxhash64(F.get(F.col(array), F.col(at)), F.get(F.col(array), F.col(at) + 1))
+
+
 def _item_seeds(items: DataFrame, lengths: list[int]) -> DataFrame:
     at = items.select("item_id", "it", F.posexplode("it").alias("ip", "_"))
     size = F.size("it")
@@ -66,10 +70,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("it")).filter(F.size("it") >= SHORTEST)
     lengths = sorted(r[0] for r in items.filter(F.size("it") < SPAN).select(F.size("it")).distinct().collect())  # SPAN - SHORTEST values at most
     seeds = _item_seeds(items, lengths)
-    if seeds.count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
+    small = seeds.count() <= BROADCAST_SEEDS
+    seeds = F.broadcast(seeds) if small else seeds
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("dt"))
-    spots = texts.select("doc_id", "version", "dt", F.posexplode("dt").alias("dp", "_"))
+    # All masks look at positions 0 and 1, so a window is hashed only where the benchmark has that pair of tokens.
+    pairs = items.select("it", F.posexplode("it").alias("ip", "_")).select(_pair("it", "ip").alias("pair")).distinct()
+    pairs = F.broadcast(pairs) if small else pairs
+    spots = texts.select("doc_id", "version", "dt", F.posexplode("dt").alias("dp", "_")).withColumn("pair", _pair("dt", "dp")).join(pairs, "pair", "left_semi")
     hashed = spots.select("doc_id", "version", "dt", "dp", F.explode(_seeds("dt", "dp", lengths)).alias("seed"))
     return hashed.join(seeds, "seed").filter(_overlap()).select("doc_id", "version", "item_id").distinct()
 
