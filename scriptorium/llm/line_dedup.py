@@ -8,12 +8,13 @@ segment) and probes the indexes of its length and of up to THRESHOLD less, at th
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, maybe_members, membership
 from .graph import connected_components
 
 THRESHOLD = 1
@@ -139,10 +140,17 @@ def _keys(threshold: int):
     return run
 
 
-def _texts(batches):
-    for batch in batches:
-        lines = list(_distinct(batch))
-        yield pa.RecordBatch.from_arrays([pa.array([line_id(s) for s in lines], pa.int64()), pa.array(lines, pa.string())], ["lid", "line"])
+def _texts(shared):
+    """Texts of the lines that a broadcast bitmap lets pass."""
+
+    def run(batches):
+        for batch in batches:
+            lines = list(_distinct(batch))
+            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            keep = np.flatnonzero(maybe_members(shared.value, ids)) if lines else []
+            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array([lines[i] for i in keep], pa.string())], ["lid", "line"])
+
+    return run
 
 
 def _facts(batches):
@@ -167,7 +175,8 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     shared = rows.groupBy("key").agg(F.min("lid").alias("center"), F.max("lid").alias("last")).filter("center < last").select("key", "center")
     members = cut(rows.join(shared, "key").distinct(), "members")
     wanted = members.select("lid").distinct()
-    lines = plain.mapInArrow(_texts, "lid long, line string").join(wanted, "lid", "left_semi").dropDuplicates(["lid"])
+    some = docs.sparkSession.sparkContext.broadcast(membership(wanted, "lid"))
+    lines = plain.mapInArrow(_texts(some), "lid long, line string").join(wanted, "lid", "left_semi").dropDuplicates(["lid"])
     lines = cut(lines.mapInArrow(_facts, "lid long, line string, size int, parity long"), "lines")
     facts = lines.select("lid", "size", "parity")
 
