@@ -125,3 +125,11 @@ def test_sinks(spark):
     new = spark.createDataFrame([(2, "b"), (3, "c"), (3, "d")], "k int, v string")
     assert sorted(map(tuple, insert_absent(old, new, ["k"]).collect()), key=repr) == [(1, "a"), (2, None), (3, "c")]
     assert sorted(map(tuple, overwrite(old, new.filter("v <> 'd'"), ["k"]).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_header_years():
+    from scriptorium.plans.catalog import header_years
+
+    lines = ["Title", "First Published:", "in Pravda, 4 May 1917;", "Source: Works 1964", "Published", ": February 1848; Transcribed 1999", "Translation: x", "first  edition: 1850, translation published 1901"]
+    assert header_years(lines) == [(1917, 0.92, "first_published"), (1848, 0.86, "published"), (1850, 0.84, "edition")]
+    assert header_years(["Fragment first published in 1940"]) == [] and header_years([]) == []
