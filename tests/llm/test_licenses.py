@@ -27,6 +27,7 @@ def test_fuzzy_notices_with_edits():
             for text in (n[:at] + "x" + n[at:], n[:at] + n[at + 1 :], n[:at] + "x" + n[at + 1 :], n):
                 line = lead + text + " and words after"
                 assert label in {NOTICES[f[0]] for f in notices(line)}, (n, text)
+    assert {NOTICES[f[0]] for f in notices("licensed under cc by nc 4 0")} == {"cc-by-nc"}
     assert notices("nothing of the kind stands in this line at all") == []
 
 
