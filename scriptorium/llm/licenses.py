@@ -80,7 +80,7 @@ def _machine():
 
 
 def notices(line: str) -> list[tuple[str, int, int, int]]:
-    """(notice, start, end, edits) of every fuzzy notice in text in normal form; of overlapping ones, those with the least edits."""
+    """(notice, start, end, edits) of every fuzzy notice in text in normal form; an overlapping one that is no shorter and has fewer edits wins."""
     auto, fuzzy = _machine()
     windows: dict[str, list[list[int]]] = {}
     for last, (size, who) in auto.iter(line):
@@ -103,7 +103,7 @@ def notices(line: str) -> list[tuple[str, int, int, int]]:
                 # a match may take up edits at its ends; whole words only
                 if (s == 0 or line[s - 1] == " " or line[s] == " ") and (e == len(line) or line[e] == " " or line[e - 1] == " "):
                     found.append((notice, s, e, sum(m.fuzzy_counts)))
-    best = [f for f in found if not any(g[1] < f[2] and f[1] < g[2] and g[3] < f[3] for g in found)]
+    best = [f for f in found if not any(g[1] < f[2] and f[1] < g[2] and g[3] < f[3] and len(g[0]) >= len(f[0]) for g in found)]
     return sorted(best, key=lambda f: (f[1], f[2], f[0]))
 
 
