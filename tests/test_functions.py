@@ -133,3 +133,40 @@ def test_header_years():
     lines = ["Title", "First Published:", "in Pravda, 4 May 1917;", "Source: Works 1964", "Published", ": February 1848; Transcribed 1999", "Translation: x", "first  edition: 1850, translation published 1901"]
     assert header_years(lines) == [(1917, 0.92, "first_published"), (1848, 0.86, "published"), (1850, 0.84, "edition")]
     assert header_years(["Fragment first published in 1940"]) == [] and header_years([]) == []
+
+
+def test_files(spark, tmp_path):
+    from scriptorium.sources import files
+
+    (tmp_path / "raw").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "raw" / f"{name}.html").write_text("<p>é</p>")
+    objects = files.raw_objects(spark, str(tmp_path / "raw")).collect()
+    assert [o.html for o in objects] == ["<p>é</p>"] and files.raw_objects(spark, str(tmp_path / "raw"), 3).collect() == []
+    (tmp_path / "m.json").write_text('{"root_url": "r", "snapshots": [{"url": "u1", "sha256": "s1"},\n {"url": "u2"}, {"url": "u3"}]}')
+    (tmp_path / "bad.json").write_text("{'root_url': 'r'}")
+    pages = files.manifest_pages(spark, str(tmp_path / "m.json"), 2)
+    assert [(p.root_url, p.place, p.url, p.sha256) for p in pages.collect()] == [("r", 0, "u1", "s1"), ("r", 1, "u2", None)]
+    assert files.manifest_pages(spark, str(tmp_path / "bad.json")).collect() == []
+    files.write_manifests(pages, str(tmp_path / "out"))
+    again = spark.read.json(str(tmp_path / "out")).collect()[0]
+    assert [s.url for s in again.snapshots] == ["u1", "u2"]
+    rows = files.mapping(spark, "Karl Marx: [K. Marx, Marx]\nLenin:\n  display: V. I. Lenin\n  aliases: [Ulyanov]\n").collect()
+    assert [tuple(r) for r in rows] == [("K. Marx", "Karl Marx", "Karl Marx"), ("Marx", "Karl Marx", "Karl Marx"), ("Ulyanov", "Lenin", "V. I. Lenin")]
+    (tmp_path / "l.jsonl").write_text('{"a": 1}\n{"a": oops}\n')
+    assert sorted((r.a or 0, r._corrupt or "") for r in files.json_lines(spark, str(tmp_path / "l.jsonl"), "a int").collect()) == [(0, '{"a": oops}'), (1, "")]
+
+
+def test_replies(spark):
+    import pytest
+
+    from scriptorium.functions import replies
+
+    assert replies.canonical_json('{"b": [1, 2],\n "a": null}') == '{"a":null,"b":[1,2]}' and replies.canonical_json("{") is None
+    assert replies.repaired_keys({"gloss:": "x", " label ": [{"k :": 1}]}) == {"gloss": "x", "label": [{"k": 1}]}
+    prose = "A long explanation in prose of the term."
+    assert replies.repaired_keys({"original_term_vernacular:": prose}) == {"original_term_vernacular": None, "gloss": prose}
+    frame = spark.createDataFrame([("is",), (None,)], "m string")
+    assert frame.select(replies.checked_label(F.col("m"), ("is", "must"), "modality")).count() == 2
+    with pytest.raises(Exception, match="unknown modality"):
+        spark.createDataFrame([("might",)], "m string").select(replies.checked_label(F.col("m"), ("is",), "modality")).collect()
