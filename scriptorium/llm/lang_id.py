@@ -22,7 +22,7 @@ SAMPLE_DOCS, SAMPLE_WORDS = 400, 150
 DIMENSIONS = 1 << 16
 #: Words of the lexicon: seen at least so often in the sample.
 LEXICON_LEAST = 3
-SEQUENCE, EPOCHS, RATE, DECAY = 60, 60, 0.3, 1e-4
+SEQUENCE, EPOCHS, RATE, DECAY = 60, 40, 0.3, 1e-4
 #: Longest word form that features look at whole; longer ones give their affixes and n-grams of both ends.
 LONGEST = 40
 UNKNOWN = "und"
@@ -33,17 +33,46 @@ def clean(word: str) -> str:
     return word.lower() if word.isalpha() else "".join(c for c in word.lower() if c.isalpha())
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features of a cleaned word."""
-    if not word:
-        return []
-    if len(word) > LONGEST:
-        word = word[: LONGEST // 2] + word[-LONGEST // 2 :]
-    n, edged = len(word), f"<{word}>"
-    parts = [f"p{word[:i]}" for i in range(1, min(4, n) + 1)] + [f"s{word[-i:]}" for i in range(1, min(4, n) + 1)]
-    parts += [f"2{edged[i : i + 2]}" for i in range(n + 1)] + [f"3{edged[i : i + 3]}" for i in range(n)]
-    parts.append(f"w{word}" if word in lexicon else "w?")
-    return [zlib.crc32(p.encode()) % DIMENSIONS for p in parts]
+_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _slot(h: np.ndarray, kind: int) -> np.ndarray:
+    h = (h + np.uint64(kind)) * _Q
+    h = (h ^ (h >> np.uint64(32))) * _P
+    return (h >> np.uint64(48)).astype(np.int64) & (DIMENSIONS - 1)
+
+
+def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of cleaned words as (feature, word number): affixes of 1 to 4, edged n-grams of 2 and 3, lexicon."""
+    some = [i for i, w in enumerate(words) if w]
+    if not some:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    kept = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in (words[i] for i in some)]
+    code = np.frombuffer(("<" + "><".join(kept) + ">").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = np.fromiter(map(len, kept), np.int64, len(kept))
+    size = n + 2
+    start = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(kept)), size)
+    flat, who = [], []
+    two = code[:-1] * _P + code[1:]
+    inside = owner[:-1] == owner[1:]
+    flat.append(_slot(two[inside], 2))
+    who.append(owner[:-1][inside])
+    three = two[:-1] * _P + code[2:]
+    inside = owner[:-2] == owner[2:]
+    flat.append(_slot(three[inside], 3))
+    who.append(owner[:-2][inside])
+    for length in range(1, 5):
+        own = np.flatnonzero(n >= length)
+        for kind, at in ((10, start[own] + 1), (20, start[own] + 1 + n[own] - length)):
+            h = np.zeros(len(own), np.uint64)
+            for j in range(length):
+                h = h * _P + code[at + j]
+            flat.append(_slot(h, kind + length))
+            who.append(own)
+    flat.append(np.fromiter((lexicon.get(w, 0) for w in kept), np.int64, len(kept)))
+    who.append(np.arange(len(kept)))
+    return np.concatenate(flat), np.asarray(some)[np.concatenate(who)]
 
 
 class Field:
@@ -56,19 +85,12 @@ class Field:
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Mean feature weight of each word, scaled by the square root of the count; zeros without letters."""
-        found = [features(w, self.lexicon) for w in words]
-        return _gathered(self.emit, found)
-
-
-def _gathered(table: np.ndarray, found: list[list[int]]) -> np.ndarray:
-    out = np.zeros((len(found), table.shape[1]))
-    sizes = np.array([len(f) for f in found], np.int64)
-    some = np.flatnonzero(sizes)
-    if len(some):
-        flat = np.concatenate([found[i] for i in some]).astype(np.int64)
-        sums = np.add.reduceat(table[flat], np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), axis=0)
-        out[some] = sums / np.sqrt(sizes[some])[:, None]
-    return out
+        return _gathered(self.emit, *features(words, self.lexicon), len(words))
+
+
+def _gathered(table: np.ndarray, flat: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    sizes = np.maximum(np.bincount(owner, minlength=count), 1)
+    return np.stack([np.bincount(owner, table[flat, c], count) for c in range(table.shape[1])], 1) / np.sqrt(sizes)[:, None]
 
 
 def forward_backward(scores: np.ndarray, move: np.ndarray, start: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -140,7 +162,8 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     index = {lang: i for i, lang in enumerate(languages)}
     texts = [(index[lang], [c for w in text.split()[:SAMPLE_WORDS] if (c := clean(w))]) for lang, text in samples]
     counts = Counter(w for _, words in texts for w in words)
-    model = Field(languages, {w: n for w, n in counts.items() if n >= LEXICON_LEAST})
+    # slot 0 stands for words outside the lexicon
+    model = Field(languages, {w: 1 + zlib.crc32(w.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1) for w, n in counts.items() if n >= LEXICON_LEAST})
     rng = np.random.default_rng(5)
     stretches = [(y, words[i : i + SEQUENCE // 2]) for y, words in texts for i in range(0, len(words), SEQUENCE // 2)]
     rng.shuffle(stretches)
@@ -163,9 +186,8 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     before = np.concatenate([np.arange(widths[i]) + at for i, at in zip(range(1, len(widths)), np.cumsum(widths) - widths, strict=False)]) if len(widths) > 1 else np.empty(0, int)
     after = np.arange(widths[0], len(word))
     k = len(languages)
-    found = [features(w, model.lexicon) for w in vocabulary]
-    sizes = np.array([len(f) for f in found])
-    flat, owner = np.concatenate(found).astype(np.int64), np.repeat(np.arange(len(found)), sizes)
+    flat, owner = features(list(vocabulary), model.lexicon)
+    sizes = np.bincount(owner, minlength=len(vocabulary))
     seen_pairs = np.zeros((k, k))
     np.add.at(seen_pairs, (gold[before], gold[after]), 1)
     seen_start = np.bincount(gold[first], minlength=k)
@@ -173,7 +195,7 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     state = [np.full_like(w, 1e-8) for w in (model.emit, model.move, model.start)]
     root = np.sqrt(sizes)[:, None]
     for _ in range(EPOCHS):
-        gamma, pairs, _ = forward_backward(_gathered(model.emit, found)[word], model.move, model.start, widths)
+        gamma, pairs, _ = forward_backward(_gathered(model.emit, flat, owner, len(vocabulary))[word], model.move, model.start, widths)
         delta = -gamma
         delta[np.arange(total), gold] += 1
         by_word = np.stack([np.bincount(word, delta[:, c], len(vocabulary)) for c in range(k)], 1) / root
