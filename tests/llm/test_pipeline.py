@@ -25,3 +25,16 @@ def test_queries_are_registered():
 
     assert [sum(q.startswith(f"op{n}_") for q in queries()) for n in range(1, 11)] == [1] * 10 and "pipeline" in queries()
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_stages_on_nulls_repeats_extra_columns_and_nothing(spark, sf_dir):
+    text = "the dog and the cat are here and they are not asleep at all"
+    rows = [(1, text, "en", "a", 58, 0), (1, text, "en", "a", 58, 0), (2, None, None, None, None, 1), (None, text + " today", None, "b", None, 2), (4, "", "en", "b", 0, 3), (5, "der hund und die katze sind nicht da", "de", "b", 36, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, removed int")
+    for frame, least in ((docs, 1), (docs.limit(0), 0)):
+        now = frame
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            now = corpus_pipeline.cut(stage(spark, now, sf_dir), f"small-{name}")
+            assert i == 4 or now.columns == corpus_pipeline.COLUMNS
+        assert now.count() >= least
+        assert frame is docs or now.count() == 0
