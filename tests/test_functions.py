@@ -170,3 +170,29 @@ def test_replies(spark):
     assert frame.select(replies.checked_label(F.col("m"), ("is", "must"), "modality")).count() == 2
     with pytest.raises(Exception, match="unknown modality"):
         spark.createDataFrame([("might",)], "m string").select(replies.checked_label(F.col("m"), ("is",), "modality")).collect()
+
+
+def test_completions(spark):
+    from scriptorium.sources.model import completions, pending
+
+    def client():
+        seen = {}
+
+        def answer(prompt):
+            n = seen[prompt] = seen.get(prompt, 0) + 1
+            if prompt.startswith("down"):
+                raise OSError("offline")
+            if prompt.startswith("late") and n < 2:
+                raise OSError("offline")
+            if prompt == "prose":
+                return "no object here"
+            return 'Sure: {"b": 1, "a": 2}' if prompt != "null" else "[]"
+
+        return answer
+
+    prompts = spark.createDataFrame([(1, "fine"), (2, "late"), (3, "down"), (4, "prose"), (5, "null")], "key long, prompt string").coalesce(1)
+    got = {r.key: (r.reply, r.attempts, r.error) for r in completions(prompts, client).collect()}
+    good = '{"a":2,"b":1}'
+    assert got == {1: (good, 1, None), 2: (good, 2, None), 3: (None, 3, "OSError: offline"), 4: (good, 2, None), 5: (good, 2, None)}
+    done = spark.createDataFrame([(1, "a", "v1", "success"), (1, "b", "v1", "success"), (2, "a", "v1", "success"), (3, "a", "v0", "success"), (3, "b", "v1", "failed")], "key long, task string, version string, status string")
+    assert sorted(r.key for r in pending(prompts, done, "v1", ("a", "b")).collect()) == [2, 3, 4, 5]
