@@ -260,7 +260,7 @@ def _all_pairs(members: DataFrame, small: DataFrame, sets: DataFrame, percent: i
     """Plausible pairs (x, y), x < y, of members of different components within a bucket; small sets are compared exactly."""
     full = cut(members.join(small, "nid").join(sets.select("nid", "exact"), "nid", "left"), "full")
     both = F.size(F.array_intersect("p.exact", "q.exact"))
-    alike = F.col("p.exact").isNull() | F.col("q.exact").isNull() | (100 * both >= percent * (F.col("p.n") + F.col("q.n") - both))
+    alike = F.col("p.exact").isNull() | F.col("q.exact").isNull() | ((100 + percent) * both >= percent * (F.col("p.n") + F.col("q.n")))
     same = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & _plausible(percent / 100) & alike
     return full.alias("p").join(full.alias("q"), same).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y")).distinct()
 
