@@ -12,11 +12,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Token positions that the masks look at; each mask has weight 8 and spans SPAN tokens.
-MASKS = ((0, 1, 2, 4, 5, 7, 9, 10), (0, 1, 3, 4, 5, 8, 9, 10), (0, 1, 2, 3, 7, 8, 9, 10))
+#: Token positions that the masks look at; each has weight 6. By enumeration, any TOLERATED substitutions in 11, 12 or
+#: WINDOW tokens leave a mask untouched at some place.
+MASKS = ((0, 1, 2, 3, 7, 8), (0, 1, 3, 4, 5, 6), (0, 1, 5, 6, 8, 9))
+#: Items of at least so many tokens are matched by masks.
 SPAN = 11
 #: Tokens of a verified window, and substitutions it may hold.
 WINDOW, TOLERATED = 13, 2
+#: Tokens of a window that may lie before a mask.
+AHEAD = WINDOW - 1 - min(m[-1] for m in MASKS)
 #: Items of SHORTEST to SPAN - 1 tokens are matched whole and exactly; shorter ones are no evidence.
 SHORTEST = 5
 #: Test seeds up to this many rows (about 100 MB with their items) are broadcast; beyond it, seeds are shuffled.
@@ -34,9 +38,9 @@ def _seed(array: str, at: str, positions: tuple[int, ...], salt: int) -> Column:
 
 
 def _seeds(array: str, at: str, lengths: list[int]) -> Column:
-    """Seeds of the window that starts at a position; null where the window ends beyond the text."""
+    """Seeds at a position; null where the mask ends beyond the text."""
     room = F.size(array) - F.col(at)
-    spaced = [F.when(room >= SPAN, _seed(array, at, m, i)) for i, m in enumerate(MASKS)]
+    spaced = [F.when(room > m[-1], _seed(array, at, m, i)) for i, m in enumerate(MASKS)]
     whole = [F.when(room >= n, _seed(array, at, tuple(range(n)), 100 + n)) for n in lengths]
     return F.array(*spaced, *whole)
 
@@ -57,9 +61,9 @@ def _item_seeds(items: DataFrame, lengths: list[int]) -> DataFrame:
 
 def _overlap() -> Column:
     """Whether some WINDOW tokens of the item around the hit agree with the text but for TOLERATED ones."""
-    same = [F.get(F.col("dt"), F.col("dp") + o).eqNullSafe(F.get(F.col("it"), F.col("ip") + o)) & F.get(F.col("it"), F.col("ip") + o).isNotNull() for o in range(-(WINDOW - SPAN), WINDOW)]
-    agree = [F.when((F.col("ip") + o >= 0) & (F.col("dp") + o >= 0), s).otherwise(False).cast("int") for o, s in zip(range(-(WINDOW - SPAN), WINDOW), same, strict=True)]
-    windows = [reduce(lambda a, b: a + b, agree[s : s + WINDOW]) for s in range(WINDOW - SPAN + 1)]
+    same = [F.get(F.col("dt"), F.col("dp") + o).eqNullSafe(F.get(F.col("it"), F.col("ip") + o)) & F.get(F.col("it"), F.col("ip") + o).isNotNull() for o in range(-AHEAD, WINDOW)]
+    agree = [F.when((F.col("ip") + o >= 0) & (F.col("dp") + o >= 0), s).otherwise(False).cast("int") for o, s in zip(range(-AHEAD, WINDOW), same, strict=True)]
+    windows = [reduce(lambda a, b: a + b, agree[s : s + WINDOW]) for s in range(AHEAD + 1)]
     most, size = F.greatest(*windows), F.size("it")
     need = F.when(size < SPAN, size).otherwise(F.least(size, F.lit(WINDOW)) - TOLERATED)
     return most >= need
@@ -85,7 +89,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of docs(doc_id, text) as doc_id, contaminated, n_items, items (sorted ids, comma-joined; null if none).
 
     Tokens are lower-case runs of letters and digits. A document is contaminated by an item if WINDOW consecutive item
-    tokens stand in it with at most TOLERATED substitutions, found by a spaced seed (items of SPAN to WINDOW - 1 tokens:
+    tokens stand in it with at most TOLERATED substitutions, wherever these fall (items of SPAN to WINDOW - 1 tokens:
     the whole item, as tolerant; SHORTEST to SPAN - 1: the whole item exactly; shorter: never). Null and empty texts are
     clean; null items match nothing; repeated rows are judged alike; other columns are ignored.
     """
@@ -96,7 +100,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return joined.select("d.doc_id", F.col("f.n").isNotNull().alias("contaminated"), F.coalesce("f.n", F.lit(0)).cast("long").alias("n_items"), F.col("f.items").alias("items"))
 
 
-#: The same decision in SQL: hits by token tuples instead of hashes.
+#: In SQL, hits by token tuples of three masks of weight 8, which miss some tolerated substitutions that MASKS find.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from oracle import actual, expected
 
@@ -25,3 +26,20 @@ def test_substitutions_and_short_items(spark):
     assert sorted((repr(r.doc_id), r.contaminated) for r in rows) == sorted([(repr(d), c) for d, _, c in docs] + [("11", False), ("1", True), ("None", True)])
     assert {r.doc_id: r.items for r in rows}[1] == "1"
     assert contamination(frame.limit(0), items).collect() == [] and not any(r.contaminated for r in contamination(frame, items.limit(0)).collect())
+
+
+def test_every_tolerated_substitution_is_found(spark):
+    rng = random.Random(2)
+    w = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
+    items = {1: w(11), 2: w(12), 3: w(13), 4: w(20)}
+    passages = [(i, items[i]) for i in (1, 2, 3)] + [(4, items[4][3:16]), (4, items[4][:14])]
+    docs = []
+    for i, passage in passages:
+        for n in (0, 1, 2, 3):
+            for at in combinations(range(len(passage)), n):
+                most = max(sum(p not in at for p in range(max(s, 0), min(s + 13, len(passage)))) for s in range(-12, len(passage)))
+                docs.append((len(docs), w(5) + ["x" if p in at else t for p, t in enumerate(passage)] + w(5), i if most >= min(len(items[i]), 13) - 2 else None))
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t, _ in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {r.doc_id: r.items for r in contamination(frame, bench).collect()}
+    assert [d for d, _, i in docs if got[d] != (None if i is None else str(i))] == []
