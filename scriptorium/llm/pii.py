@@ -3,7 +3,7 @@
 Identifiers (e-mail, IP, card, phone) are the protected entities. A line is a context. Over all contexts of the corpus,
 pointwise mutual information PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) says how much a term t reveals of an entity
 e, whose whole information is IC(e) = log2(N / n(e)). Terms of e's contexts that disclose at least GENERALISE of IC(e)
-are generalised to their kind there, those that disclose at least REMOVE are removed. A term needs SUPPORT different
+are generalised to their kind wherever they stand, in any text; those that disclose at least REMOVE are removed. A term needs SUPPORT different
 contexts with e, so that chance neighbours of an entity seen once, or copies of one line, prove nothing.
 """
 
@@ -13,17 +13,16 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, maybe_members, membership
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
-#: Words on each side of an entity, within its line, that can disclose it.
-REACH = 12
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -31,7 +30,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[@0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_WORD = re.compile(r"\S+")
 _TERM = re.compile(r"\w[\w'-]*")
 
 
@@ -79,31 +78,39 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def neighbours(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(entity, context, term, start, end): terms near each identifier in its line, identifiers themselves left out."""
+def neighbours(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+    """Each line with identifiers: its hash, its entities, and its terms, identifiers themselves left out."""
+    lines: dict[tuple[int, int], list[tuple[str, int, int]]] = {}
+    for span in spans:
+        lo, hi = text.rfind("\n", 0, span[1]) + 1, text.find("\n", span[2])
+        lines.setdefault((lo, len(text) if hi < 0 else hi), []).append(span)
     out = []
-    for kind, s, e in spans:
-        lo, hi = text.rfind("\n", 0, s) + 1, text.find("\n", e)
-        hi = len(text) if hi < 0 else hi
-        entity, context = _hash(f"{kind}:{text[s:e]}"), _hash(text[lo:hi])
-        left = [m.span() for m in _WORD.finditer(text, max(lo, s - 64 * REACH), s)][-REACH:]
-        right = []
-        for m in _WORD.finditer(text, e, hi):
-            right.append(m.span())
-            if len(right) == REACH:
-                break
-        for a, b in left + right:
-            if (m := _TERM.search(text, a, b)) and not any(a < y and x < b for _, x, y in spans):
-                out.append((entity, context, _hash(m.group().lower()), *m.span()))
+    for (lo, hi), own in lines.items():
+        entities = {_hash(f"{kind}:{text[s:e]}") for kind, s, e in own}
+        terms = {_hash(m.group().lower()) for a, b in outside(text, own, lo, hi) if (m := _TERM.search(text, a, b))}
+        out.append({"context": _hash(text[lo:hi]), "entities": sorted(entities), "terms": sorted(terms)})
     return out
 
 
+def outside(text: str, spans: list[tuple[str, int, int]], lo: int, hi: int):
+    """(start, end) of the words from lo to hi that overlap no span."""
+    held = sorted((x, y) for _, x, y in spans)
+    at, last = 0, lo  # of the spans that start before the word ends, the furthest end
+    for m in _WORD.finditer(text, lo, hi):
+        a, b = m.span()
+        while at < len(held) and held[at][0] < b:
+            last = max(last, held[at][1])
+            at += 1
+        if a >= last:
+            yield a, b
+
+
 def _joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-_FOUND = "doc_id long, base string, counts array<bigint>, near array<struct<entity:bigint,context:bigint,term:bigint,start:int,stop:int>>"
-_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))
+_FOUND = "doc_id long, version long, base string, counts array<bigint>, near array<struct<context:bigint,entities:array<bigint>,terms:array<bigint>>>"
+_NEAR = pa.list_(pa.struct([("context", pa.int64()), ("entities", pa.list_(pa.int64())), ("terms", pa.list_(pa.int64()))]))
 
 
 def _scan(batches):
@@ -114,8 +121,8 @@ def _scan(batches):
             base.append(_joined(spans))
             kinds = [s[0] for s in spans]
             counts.append([kinds.count(k) for k in KINDS])
-            near.append([dict(zip(("entity", "context", "term", "start", "stop"), n, strict=True)) for n in neighbours(text, spans)] if spans else [])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.string()), pa.array(counts, pa.list_(pa.int64())), pa.array(near, _NEAR)], ["doc_id", "base", "counts", "near"])
+            near.append(neighbours(text, spans) if spans else [])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(base, pa.string()), pa.array(counts, pa.list_(pa.int64())), pa.array(near, _NEAR)], ["doc_id", "version", "base", "counts", "near"])
 
 
 def _contexts(batches):
@@ -142,19 +149,46 @@ def _contexts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(merged), pa.int64()), pa.array(list(merged.values()), pa.int64())], ["term", "n"])
 
 
+def _marked(shared):
+    """Places of the terms that a broadcast bitmap lets pass, outside identifiers."""
+
+    def run(batches):
+        memory: dict[str, int | None] = {}
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            words = [set(_WORD.findall(t)) if t else set() for t in texts]
+            if len(memory) >= 300_000:
+                memory.clear()
+            new = [w for w in set().union(*words) if w not in memory]
+            terms = [(w, _hash(m.group().lower())) for w in new if (m := _TERM.search(w))]
+            memory.update(dict.fromkeys(new))
+            if terms:
+                keep = maybe_members(shared.value, np.array([t for _, t in terms], np.int64))
+                memory.update(terms[i] for i in np.flatnonzero(keep))
+            out = []
+            for doc_id, text, version, own in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), words, strict=True):
+                if any(memory[w] is not None for w in own):
+                    for a, b in outside(text, identifiers(text), 0, len(text)):
+                        if (term := memory[text[a:b]]) is not None:
+                            out.append((doc_id, version, term, *_TERM.search(text, a, b).span()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "version", "term", "start", "stop"])
+
+    return run
+
+
 def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
     """(entity, term, share): how much of the entity's information a term gives away, where it is at least GENERALISE."""
-    near = found.select(F.explode("near").alias("x")).select("x.entity", "x.context", "x.term")
-    # occurrences are counted for the information, different contexts for the support
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("m")).groupBy("entity", "term").agg(F.sum("m").alias("both"), F.count("*").alias("support"))
-    entities = found.select(F.explode("near").alias("x")).select("x.entity", "x.context", "x.start").groupBy("entity").agg(F.countDistinct("context").alias("contexts"))
+    # equal lines have equal entities and terms: different contexts are counted
+    lines = found.select(F.explode("near").alias("x")).select("x.*").dropDuplicates(["context"])
+    pairs = lines.select("entities", F.explode("terms").alias("term")).select("term", F.explode("entities").alias("entity")).groupBy("entity", "term").agg(F.count("*").alias("support"))
+    entities = lines.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("contexts"))
     pairs = cut(pairs.filter(F.col("support") >= SUPPORT), "pairs")
     wanted = pairs.select("term").distinct().unionAll(texts.sparkSession.range(1).select(F.col("id").alias("term")))
     counts = texts.select("text").mapInArrow(_contexts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     counts = cut(counts.join(wanted, "term", "left_semi"), "terms")
     total = counts.filter("term = 0").agg(F.coalesce(F.max("n"), F.lit(1)).alias("total"))
     scored = pairs.join(entities, "entity").join(counts.filter("term <> 0"), "term").crossJoin(F.broadcast(total))  # one row
-    # a support of different contexts estimates n(e, t) and n(e); n(t) counts all lines, copies too, which is cautious
+    # n(e, t) and n(e) are different lines; n(t) counts all lines, copies too, which is cautious
     pmi = F.log2(F.col("support") * F.col("total") / (F.col("contexts") * F.greatest("n", "support")))
     whole = F.log2(F.col("total") / F.col("contexts"))
     return scored.withColumn("share", F.when(whole > 0, pmi / whole).otherwise(0.0)).filter(F.col("share") >= GENERALISE).select("entity", "term", "share")
@@ -183,14 +217,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
     be generalised and to be removed (kinds term_general and term_remove). base_sha256 covers the identifiers' part.
     Null and empty texts have no span; repeated rows get equal results; other columns are ignored.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = cut(plain.mapInArrow(_scan, _FOUND).withColumn("row", F.monotonically_increasing_id()), "found")
-    risky = disclosures(found, plain)
-    near = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("version"))
+    found = cut(plain.mapInArrow(_scan, _FOUND), "found")
+    risky = cut(disclosures(found, plain.select("text")).groupBy("term").agg(F.max("share").alias("share")), "risky")
+    shared = docs.sparkSession.sparkContext.broadcast(membership(risky, "term"))
+    places = plain.mapInArrow(_marked(shared), "doc_id long, version long, term long, start int, stop int")
     kind = F.when(F.col("share") >= REMOVE, "term_remove").otherwise("term_general").alias("kind")
-    terms = near.join(risky, ["entity", "term"]).groupBy("row").agg(F.collect_set(F.struct(kind, "start", "stop")).alias("terms"))
+    terms = places.join(risky, "term").groupBy(F.col("doc_id").alias("d"), F.col("version").alias("v")).agg(F.collect_set(F.struct(kind, "start", "stop")).alias("terms"))
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_terms long"
-    return found.select("row", "doc_id", "base", "counts").join(terms, "row", "left").drop("row").mapInArrow(_finish, schema)
+    return found.select("doc_id", "version", "base", "counts").join(terms, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left").select("doc_id", "base", "counts", "terms").mapInArrow(_finish, schema)
 
 
 def sanitised(text: str | None, spans: str) -> str | None:

@@ -46,3 +46,16 @@ def test_rows_terms_and_sanitising(spark):
         assert "bob" not in sanitised(t, got[1000 + i].spans) and "yxw" not in sanitised(t, got[1000 + i].spans)
     assert len(personal_data(docs).filter("doc_id = 2002").collect()) == 2
     assert personal_data(docs.limit(0)).collect() == []
+
+
+def test_far_terms_are_marked_everywhere(spark):
+    far = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, f"common words fill line number {i % 7} here and there {far}") for i in range(995)] * 2
+    told = [f"Zyxw {x} {far} bob.x@mail.org" for x in ("once", "twice", "again", "often", "seldom")]
+    rows += [(1000 + i, t) for i, t in enumerate(told)] + [(2000, "no address\nbut zyxw, twice: ZYXW"), (2001, "bob.x@mail.org\nzyxw"), (2001, "bob.x@mail.org\nzyxw"), (None, "zyxw")]
+    got = personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    marked = lambda d: [r.spans for r in got if r.doc_id == d]
+    assert all(marked(1000 + i)[0].endswith(",term_general:0:4") for i in range(5))
+    assert marked(2000) == ["term_general:15:19,term_general:28:32"] and marked(None) == ["term_general:0:4"]
+    assert marked(2001) == ["email:0:14,term_general:15:19"] * 2
+    assert not any(r.spans for r in got if r.doc_id is not None and r.doc_id < 1000)
