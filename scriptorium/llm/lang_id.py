@@ -2,7 +2,8 @@
 
 States are the learned languages. Emissions sum weights of hashed affix, character n-gram and lexicon features of a
 word; transition weights are learned from sequences that splice stretches of several languages. Forward-backward gives
-each word's posterior; a document's language has the largest sum of posteriors.
+each word's posterior; a document's language has the largest sum of posteriors. Runs of more than LONGEST code points, as
+in scripts without spaces, are split into pieces that each stand in the chain.
 
 Fitting takes a bounded sample (SAMPLE_DOCS per language, lowest text hash first, SAMPLE_WORDS words each) of labelled
 rows; prediction covers every word of every text.
@@ -23,7 +24,7 @@ DIMENSIONS = 1 << 16
 #: Words of the lexicon: seen at least so often in the sample.
 LEXICON_LEAST = 3
 SEQUENCE, EPOCHS, RATE, DECAY = 60, 40, 0.3, 1e-4
-#: Longest word form that features look at whole; longer ones give their affixes and n-grams of both ends.
+#: Code points of a word at most; longer runs are split into pieces.
 LONGEST = 40
 UNKNOWN = "und"
 
@@ -33,6 +34,14 @@ def clean(word: str) -> str:
     return word.lower() if word.isalpha() else "".join(c for c in word.lower() if c.isalpha())
 
 
+def words_of(text: str) -> list[str]:
+    """Words between white space, runs over LONGEST in successive pieces."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+
+
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -47,7 +56,7 @@ def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.
     some = [i for i, w in enumerate(words) if w]
     if not some:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    kept = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in (words[i] for i in some)]
+    kept = [words[i] for i in some]
     code = np.frombuffer(("<" + "><".join(kept) + ">").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     n = np.fromiter(map(len, kept), np.int64, len(kept))
     size = n + 2
@@ -160,7 +169,7 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     if not languages:
         return None
     index = {lang: i for i, lang in enumerate(languages)}
-    texts = [(index[lang], [c for w in text.split()[:SAMPLE_WORDS] if (c := clean(w))]) for lang, text in samples]
+    texts = [(index[lang], [c for w in words_of(text)[:SAMPLE_WORDS] if (c := clean(w))]) for lang, text in samples]
     counts = Counter(w for _, words in texts for w in words)
     # slot 0 stands for words outside the lexicon
     model = Field(languages, {w: 1 + zlib.crc32(w.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1) for w, n in counts.items() if n >= LEXICON_LEAST})
@@ -207,9 +216,15 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     return model
 
 
+def _head(text):
+    """The text up to its SAMPLE_WORDS-th word, as words_of splits it."""
+    space = r"\s\x1c-\x1f"
+    return F.regexp_extract(text, rf"(?U)^(?:[{space}]*+[^{space}]{{1,{LONGEST}}}+){{0,{SAMPLE_WORDS}}}", 0)
+
+
 def learn(docs: DataFrame, training) -> Field | None:
     """Fit on the rows of docs(doc_id, text, lang) that satisfy training and have a language and a text."""
-    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", F.xxhash64("text").alias("h"), F.substring("text", 1, 8 * SAMPLE_WORDS).alias("text"))
+    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", F.xxhash64("text").alias("h"), _head(F.col("text")).alias("text"))
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= SAMPLE_DOCS)
     return fit([(r.lang, r.text) for r in ranked.select("lang", "h", "doc_id", "text").orderBy("lang", "h", "doc_id").collect()])
 
@@ -251,7 +266,7 @@ def predict(model: Field | None, texts: list[str | None], memory: _Emissions | N
     chunk: list[tuple[int, list[str]]] = []
     held = 0
     for _, i in sorted(sizes, reverse=True):
-        words = texts[i].split()
+        words = words_of(texts[i])
         if not words:
             continue
         chunk.append((i, words))

@@ -2,8 +2,9 @@ import itertools
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from scriptorium.llm.lang_id import accepted, fit, forward_backward, language_id, posteriors, predict, time_major
+from scriptorium.llm.lang_id import accepted, fit, forward_backward, language_id, learn, posteriors, predict, time_major
 
 
 def test_forward_backward_against_enumeration():
@@ -55,3 +56,20 @@ def test_nulls_repeats_and_empty_table(spark):
     assert got[2] == got[3] == "und" and got[None] in ("en", "es") and len(language_id(docs).collect()) == 6
     assert sorted(repr(r.doc_id) for r in accepted(docs).collect()) == ["1", "4", "4", "None"]
     assert language_id(docs.limit(0)).collect() == []
+
+
+def test_all_letters_of_long_runs_count():
+    model = fit([("de", "der hund und die katze sind nicht hier " * 4), ("en", "the dog and the cat are not here today " * 4)] * 5)
+    german = "derhundunddiekatzesindnichthier"
+    english = "thedogandthecatarenotheretoday"
+    # both ends are English, all between is German
+    assert predict(model, [english + german * 40 + english])[0][0] == "de"
+    assert predict(model, [german + english * 40 + german])[0][0] == "en"
+
+
+def test_fitting_reads_all_sample_words(spark):
+    # the first 1,200 characters hold no word that tells the languages apart
+    same = " ".join(["abcdefghijklmnopqrstuvwxyzabcd"] * 45)
+    rows = [(d, f"{same} {'der hund und die katze ' * 15 if d % 2 else 'the dog and the cat '  * 15}", "de" if d % 2 else "en") for d in range(40)]
+    model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert [p[0] for p in predict(model, ["die katze und der hund", "the cat and the dog"])] == ["de", "en"]
