@@ -1,13 +1,22 @@
 """Near-equal lines across documents: segment-partition edit join.
 
-A line is cut into THRESHOLD + 1 segments. If two lines are within THRESHOLD edits, one of the shorter line's segments
+A line of n code points tolerates n // PER_EDIT edits, MOST at most; of two lines the shorter one's number holds. For a
+threshold t a line is cut into t + 1 segments. If two lines are within t edits, one of the shorter line's segments
 stands unchanged in the longer one, near its place. Every line indexes its own segments by (length, segment number,
-segment) and probes the indexes of its length and of up to THRESHOLD less, at the few offsets that alignment allows
+segment) and probes the indexes of its length and of lengths up to MOST less, at the few offsets that alignment allows
 (multi-match-aware windows). Lines under one key are candidates; banded bit-parallel edit distance verifies them.
+
+A key that very many lines share is split: what is left of each line without the shared segment must lie within the
+same threshold, so it is cut into segments again, and so on, until few lines share a key or next to nothing is left,
+where lines with a string in common after t deletions are candidates. So the work grows with the lines, however many
+share a beginning.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,9 +26,16 @@ from pyspark.sql import functions as F
 from .common import cut, maybe_members, membership
 from .graph import connected_components
 
-THRESHOLD = 1
-#: Lines with fewer code points are compared exactly only: one edit turns many a short line into another.
-SHORTEST = 20
+#: Code points of a line for each tolerated edit, and edits at most; shorter lines are compared exactly.
+PER_EDIT, MOST = 10, 2
+#: Lines of different classes that a key may hold before it is split.
+HOT = 64
+#: A rest of so many code points for each of t + 1 segments is not cut again.
+SHORT_REST = 4
+
+
+def tolerated(length: int, per_edit: int = PER_EDIT, most: int = MOST) -> int:
+    return min(most, length // per_edit)
 
 
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
@@ -43,12 +59,59 @@ def probes(length: int, other: int, threshold: int) -> list[tuple[int, int, int]
     return out
 
 
-def line_keys(line: str, threshold: int = THRESHOLD) -> set[int]:
-    n = len(line)
-    spots = {(n, i, at, size) for i, (at, size) in enumerate(segments(n, threshold + 1))}
-    for other in range(n - threshold, n + 1):
-        spots |= {(other, *p) for p in probes(n, other, threshold)}
-    return {xxhash.xxh3_64_intdigest(f"{m} {i} {line[at : at + size]}".encode("utf-8", "surrogatepass")) - 2**63 for m, i, at, size in spots}
+@lru_cache(maxsize=50_000)
+def spots(length: int, per_edit: int, most: int) -> np.ndarray:
+    """(indexed length, segment number, start, size, threshold) of every key of a line, one a column."""
+    found = set()
+    for other in range(max(1, length - most), length + 1):
+        t = tolerated(other, per_edit, most)
+        if t and length - other <= t:
+            found |= {(other, i, at, size, t) for i, at, size in probes(length, other, t)}
+    own = tolerated(length, per_edit, most)
+    if own:
+        found |= {(length, i, at, size, own) for i, (at, size) in enumerate(segments(length, own + 1))}
+    return np.array(sorted(found), np.int64).reshape(-1, 5).T
+
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_ODD = 0x9FB21C651E98DF25
+_INVERSE = pow(_ODD, -1, 1 << 64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _M2
+    return x ^ (x >> np.uint64(29))
+
+
+@lru_cache(maxsize=4)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(size, _ODD, np.uint64), np.full(size, _INVERSE, np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def line_keys(lines: list[str], per_edit: int = PER_EDIT, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all lines and the line of each: hashes of (length, segment number, segment), by one sum over code points."""
+    if not lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    starts = np.cumsum(sizes) - sizes
+    up, down = _powers(1 << int(sizes.max()).bit_length())
+    place = np.arange(len(text)) - np.repeat(starts, sizes)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix((text.astype(np.uint64) + np.uint64(1)) * _M1) * up[place], dtype=np.uint64)])
+    keys, owners = [], []
+    order = np.argsort(sizes, kind="stable")
+    for n, own in zip(*(lambda v, i: (v.tolist(), np.split(order, i[1:])))(*np.unique(sizes[order], return_index=True)), strict=True):
+        m, i, at, size, _ = spots(n, per_edit, most)
+        if len(m):
+            first = starts[own][:, None] + at
+            h = (sums[first + size] - sums[first]) * down[at]
+            keys.append(_mix((h + (m * 8 + i).astype(np.uint64) * _M1) * _M2).ravel())
+            owners.append(np.repeat(own, len(m)))
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys).view(np.int64), np.concatenate(owners)
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -72,35 +135,31 @@ def within(a: str, b: str, k: int) -> bool:
 
 
 def _banded(a: str, b: str, k: int) -> bool:
-    """Bit-parallel edit distance (Myers 1999, Hyyro 2003) of b's columns over a band of 2k + 1 rows of a."""
+    """Bit-parallel edit distance (Myers 1999, banded as by Hyyro 2003): a window of 2k + 1 rows of a slides along b."""
     m, n = len(a), len(b)
     if not m or not n:
         return max(m, n) <= k
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | (1 << i)
-    width = 2 * k + 1
-    band = (1 << width) - 1
-    full = (1 << m) - 1
-    vp, vn, score = full, 0, m
-    for j, c in enumerate(b):
-        # Rows outside j - k .. j + k can't lie on a path of k edits; their bits are neutral.
-        first = max(0, j - k)
-        mask = (band << first) & full
-        eq = where.get(c, 0) & mask
-        x = eq | vn
-        d0 = ((((x & vp) + vp) ^ vp) | x) & full
-        hp = (vn | ~(d0 | vp)) & full
-        hn = d0 & vp
-        if hp >> (m - 1) & 1:
-            score += 1
-        elif hn >> (m - 1) & 1:
-            score -= 1
-        hp = ((hp << 1) | 1) & full
-        hn = (hn << 1) & full
-        vp = (hn | ~(d0 | hp)) & full
-        vn = d0 & hp
-        if score - (n - 1 - j) > k:
+    band, top = (1 << (2 * k + 1)) - 1, 1 << (2 * k)
+    seen: dict[str, tuple[int, int]] = {}  # character -> (column, rows of the window at that column)
+    for row in range(1, min(k, m) + 1):
+        seen[a[row - 1]] = (0, seen.get(a[row - 1], (0, 0))[1] | 1 << (row + k))
+    vp, vn, score = band & ~((1 << k) - 1), 0, min(k, m)
+    for j, c in enumerate(b, 1):
+        row = j + k
+        if row <= m:
+            at, rows = seen.get(a[row - 1], (j, 0))
+            seen[a[row - 1]] = (j, rows >> (j - at) | top)
+        at, rows = seen.get(c, (j, 0))
+        eq = rows >> (j - at)
+        d0 = ((((eq & vp) + vp) ^ vp) | eq | vn) & band
+        hp, hn = (vn | ~(d0 | vp)) & band, d0 & vp
+        if row <= m:
+            score += not d0 & top
+        else:
+            last = 1 << (m - j + k)
+            score += bool(hp & last) - bool(hn & last)
+        vp, vn = (hn | ~(d0 >> 1 | hp)) & band, d0 >> 1 & hp
+        if score - (n - j) > k:
             return False
     return score <= k
 
@@ -123,69 +182,163 @@ def _documents(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "version", "lines"])
 
 
-def _distinct(batch) -> set[str]:
-    return {s for t in batch.column(1).to_pylist() if t for line in t.split("\n") if len(s := line.strip()) >= SHORTEST}
+def _distinct(batch, shortest: int) -> list[str]:
+    return list({s for t in batch.column(1).to_pylist() if t for line in t.split("\n") if len(s := line.strip()) >= shortest})
 
 
-def _keys(threshold: int):
+def _keys(per_edit: int, most: int):
     def run(batches):
         for batch in batches:
-            keys, lines = [], []
-            for line in _distinct(batch):
-                own = line_keys(line, threshold)
-                keys += own
-                lines += [line_id(line)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int64())], ["key", "lid"])
+            lines = _distinct(batch, per_edit)
+            keys, owners = line_keys(lines, per_edit, most)
+            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[owners])], ["key", "lid"])
 
     return run
 
 
-def _texts(shared):
-    """Texts of the lines that a broadcast bitmap lets pass."""
+def _candidates(per_edit: int, most: int, shared):
+    """Lines with keys that a broadcast bitmap lets pass, and those keys."""
 
     def run(batches):
         for batch in batches:
-            lines = list(_distinct(batch))
-            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
-            keep = np.flatnonzero(maybe_members(shared.value, ids)) if lines else []
-            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array([lines[i] for i in keep], pa.string())], ["lid", "line"])
+            lines = _distinct(batch, per_edit)
+            keys, owners = line_keys(lines, per_edit, most)
+            keep = maybe_members(shared.value, keys)
+            keys, owners = keys[keep], owners[keep]
+            order = np.argsort(owners, kind="stable")
+            found, first = np.unique(owners[order], return_index=True)
+            own = [lines[i] for i in found.tolist()]
+            offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([line_id(s) for s in own], pa.int64()), pa.array(own, pa.string()), pa.array([len(s) for s in own], pa.int32()), pa.array([parity(s) for s in own], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys[order]))],
+                ["lid", "line", "size", "parity", "keys"],
+            )
 
     return run
 
 
-def _facts(batches):
+def _near(batches):
     for batch in batches:
-        lines = batch.column("line").to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column("lid"), batch.column("line"), pa.array([len(s) for s in lines], pa.int32()), pa.array([parity(s) for s in lines], pa.int64())], ["lid", "line", "size", "parity"])
+        keep = [within(a, b, t) for a, b, t in zip(batch.column("xl").to_pylist(), batch.column("yl").to_pylist(), batch.column("t").to_pylist(), strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+_RESTS = "key long, lid long, label long, rest string, t int"
 
 
-def _near(threshold: int):
+def _first_rests(per_edit: int, most: int):
+    """Of lines under a key: what is left of them without the segment that the key stands for."""
+
     def run(batches):
         for batch in batches:
-            keep = [within(a, b, threshold) for a, b in zip(batch.column("xl").to_pylist(), batch.column("yl").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for key, lid, label, line in zip(*(batch.column(n).to_pylist() for n in ("key", "lid", "label", "line")), strict=True):
+                own = spots(len(line), per_edit, most)
+                keys, _ = line_keys([line], per_edit, most)
+                for j in np.flatnonzero(keys == key).tolist():
+                    _, _, at, size, t = own[:, j].tolist()
+                    out.append((key, lid, label, f"{line[:at]}\n{line[at + size :]}", t))
+            yield _rest_rows(out)
 
     return run
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(node, root): stripped lines, by id, that reach another line by links of at most threshold edits."""
+def _rest_rows(rows):
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32()))], ["key", "lid", "label", "rest", "t"])
+
+
+def rests(rest: str, t: int) -> set[tuple[str, str | None]]:
+    """(what two rests within t edits have one of in common, what is then left or None): segments, or for short rests strings after t deletions."""
+    n, out = len(rest), set()
+    if n > SHORT_REST * (t + 1):
+        places = {(n, i, at, size) for i, (at, size) in enumerate(segments(n, t + 1))}
+        for other in range(n - t, n + 1):
+            places |= {(other, *p) for p in probes(n, other, t)}
+        out = {(f"{m} {i} {rest[at : at + size]}", f"{rest[:at]}\n{rest[at + size :]}") for m, i, at, size in places}
+    if n <= SHORT_REST * (t + 1) + t:  # those just longer meet short ones too
+        out |= {("".join(c for i, c in enumerate(rest) if i not in gone), None) for d in range(min(t, n) + 1) for gone in map(set, combinations(range(n), d))}
+    return out
+
+
+def _more_rests(batches):
+    for batch in batches:
+        out = []
+        for key, lid, label, rest, t in zip(*(batch.column(n).to_pylist() for n in ("key", "lid", "label", "rest", "t")), strict=True):
+            out += [(xxhash.xxh3_64_intdigest(f"{key} {left is None} {name}".encode("utf-8", "surrogatepass")) - 2**63, lid, label, left, t) for name, left in rests(rest, t)]
+        yield _rest_rows(out)
+
+
+def _common_ends(batches):
+    """(key, front, back): code points that all rests under a key begin and end with, from the least and greatest of them."""
+
+    def same(a: str, b: str) -> int:
+        return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    for batch in batches:
+        front = [same(a, b) for a, b in zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist(), strict=True)]
+        back = [min(same(a, b), n - f) for a, b, n, f in zip(batch.column("rlo").to_pylist(), batch.column("rhi").to_pylist(), batch.column("least").to_pylist(), front, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(front, pa.int32()), pa.array(back, pa.int32())], ["key", "front", "back"])
+
+
+def _stripped(rows: DataFrame) -> DataFrame:
+    """Rests without what all under their key begin and end with, which leaves edit distances as they are."""
+    back = F.reverse("rest")
+    ends = rows.groupBy("key").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"), F.min(back).alias("rlo"), F.max(back).alias("rhi"), F.min(F.length("rest")).alias("least"))
+    ends = ends.mapInArrow(_common_ends, "key long, front int, back int")
+    return rows.join(ends, "key").select("key", "lid", "label", F.substring("rest", F.col("front") + 1, F.length("rest") - F.col("front") - F.col("back")).alias("rest"), "t")
+
+
+def _pairs(rows: DataFrame, facts: DataFrame, plausible) -> DataFrame:
+    """Plausible pairs of lines under a key whose labels differ."""
+    full = rows.select("key", "lid", "label").distinct().join(facts, "lid")
+    same = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & plausible("p", "q")
+    return full.alias("p").join(full.alias("q"), same).select(F.least("p.lid", "q.lid").alias("a"), F.greatest("p.lid", "q.lid").alias("b"))
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """The rows under keys of several labels, with the number of rows of their key."""
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n")
+    return rows.join(mixed, "key")
+
+
+def _within_keys(apart: DataFrame, lines: DataFrame, facts: DataFrame, plausible, per_edit: int, most: int) -> DataFrame:
+    """Plausible pairs under the keys of apart(key, lid, label, n); keys of more than HOT rows are split by what is left of their lines."""
+    found = _pairs(apart.filter(F.col("n") <= HOT), facts, plausible)
+    hot = apart.filter(F.col("n") > HOT)
+    if hot.isEmpty():
+        return found
+    rows = hot.select("key", "lid", "label").join(lines.select("lid", "line"), "lid").mapInArrow(_first_rests(per_edit, most), _RESTS)
+    while True:
+        level = cut(_split(_stripped(cut(rows, "rests")).mapInArrow(_more_rests, _RESTS).distinct()), "rests")
+        # a rest of a few characters is not cut again: its key has but a bounded number of texts
+        few = (F.col("n") <= HOT) | F.col("rest").isNull()
+        found = found.unionAll(_pairs(level.filter(few), facts, plausible))
+        rows = level.filter(~few).drop("n")
+        if rows.isEmpty():
+            return found
+
+
+def line_classes(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) -> DataFrame:
+    """(node, root): stripped lines, by id, that reach another line by links of tolerated edits."""
     plain = docs.select("doc_id", "text")
-    rows = plain.mapInArrow(_keys(threshold), "key long, lid long")
-    shared = rows.groupBy("key").agg(F.min("lid").alias("center"), F.max("lid").alias("last")).filter("center < last").select("key", "center")
-    members = cut(rows.join(shared, "key").distinct(), "members")
-    wanted = members.select("lid").distinct()
-    some = docs.sparkSession.sparkContext.broadcast(membership(wanted, "lid"))
-    lines = plain.mapInArrow(_texts(some), "lid long, line string").join(wanted, "lid", "left_semi").dropDuplicates(["lid"])
-    lines = cut(lines.mapInArrow(_facts, "lid long, line string, size int, parity long"), "lines")
+    rows = plain.mapInArrow(_keys(per_edit, most), "key long, lid long")
+    shared = cut(rows.groupBy("key").agg(F.min("lid").alias("center"), F.max("lid").alias("last")).filter("center < last").select("key", "center"), "shared")
+    some = docs.sparkSession.sparkContext.broadcast(membership(shared, "key"))
+    lines = cut(plain.mapInArrow(_candidates(per_edit, most, some), "lid long, line string, size int, parity long, keys array<bigint>").dropDuplicates(["lid"]), "lines")
+    members = cut(lines.select("lid", F.explode("keys").alias("key")).distinct().join(shared, "key"), "members")
     facts = lines.select("lid", "size", "parity")
 
+    def threshold(p: str, q: str):
+        return F.least(F.floor(F.least(f"{p}.size", f"{q}.size") / per_edit), F.lit(most)).cast("int")
+
     def plausible(p: str, q: str):
-        return (F.abs(F.col(f"{p}.size") - F.col(f"{q}.size")) <= threshold) & (F.bit_count(F.col(f"{p}.parity").bitwiseXOR(F.col(f"{q}.parity"))) <= 2 * threshold)
+        return (F.abs(F.col(f"{p}.size") - F.col(f"{q}.size")) <= threshold(p, q)) & (F.bit_count(F.col(f"{p}.parity").bitwiseXOR(F.col(f"{q}.parity"))) <= 2 * threshold(p, q))
 
     def links(pairs: DataFrame) -> DataFrame:
-        side = lambda c: lines.select(F.col("lid").alias(c), F.col("line").alias(f"{'x' if c == 'a' else 'y'}l"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near(threshold), "a long, b long")
+        side = lambda c: lines.select(F.col("lid").alias(c), F.struct("line", "size").alias(f"_{c}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        return both.select("a", "b", F.col("_a.line").alias("xl"), F.col("_b.line").alias("yl"), threshold("_a", "_b").alias("t")).mapInArrow(_near, "a long, b long")
 
     star = members.filter("lid <> center").select(F.col("center").alias("a"), F.col("lid").alias("b")).distinct()
     ends = lambda c, to: facts.select(F.col("lid").alias(c), F.struct("size", "parity").alias(to))
@@ -194,18 +347,16 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     roots = connected_components(edges)
 
     labelled = members.join(roots.withColumnRenamed("node", "lid"), "lid", "left").select("key", "lid", F.coalesce("root", "lid").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    apart = cut(labelled.join(mixed, "key").join(facts, "lid"), "apart")
-    pairs = apart.alias("p").join(apart.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & plausible("p", "q")).select(F.least("p.lid", "q.lid").alias("a"), F.greatest("p.lid", "q.lid").alias("b")).distinct()
-    more = links(pairs.join(star, ["a", "b"], "left_anti"))
+    apart = cut(_split(labelled), "apart")
+    more = links(_within_keys(apart, lines, facts, plausible, per_edit, most).distinct().join(star, ["a", "b"], "left_anti"))
     return connected_components(cut(edges.unionAll(more), "links"))
 
 
-def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def duplicate_lines(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) -> DataFrame:
     """(doc_id, version, n_lines, n_removed, removed): one row per distinct (doc_id, text); version is the text's hash.
 
     Lines are split at newlines and stripped of surrounding white space; blank lines are never removed. Of each class
-    of lines, equal or linked by at most threshold edits (lines under SHORTEST code points: equal), the first by
+    of lines, equal or linked by tolerated edits (lines under per_edit code points: equal), the first by
     (doc_id, line number) stays and all others are removed: removed holds their numbers from 0, sorted. A null doc_id
     stands after all others. Null and empty texts have no removed line; repeated rows count as one document; other columns are
     ignored.
@@ -215,7 +366,7 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     spots = listed.select("doc_id", "version", F.posexplode("lines").alias("pos", "lid")).filter("lid is not null")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos", "version")
     first = spots.groupBy("lid").agg(F.min(place).alias("place"))
-    roots = line_classes(docs, threshold)
+    roots = line_classes(docs, per_edit, most)
     grouped = cut(first.join(roots.withColumnRenamed("node", "lid"), "lid", "left").select("lid", F.coalesce("root", "lid").alias("root"), "place"), "first")
     least = grouped.groupBy("root").agg(F.min("place").alias("place"))
     keepers = grouped.select("lid", "root").join(least, "root").select("lid", "place")
@@ -244,10 +395,10 @@ def _rebuilt(batches):
         yield batch.select([c for c in batch.schema.names if c != "removed"]).filter(keep)
 
 
-def without_duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) -> DataFrame:
     """docs(doc_id, text, lang, source, n_chars) without repeated lines; documents left with no text at all go."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    marked = duplicate_lines(docs, threshold).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "removed")
+    marked = duplicate_lines(docs, per_edit, most).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "removed")
     rows = docs.select(*columns).withColumn("_v", F.xxhash64("text"))
     joined = rows.join(marked, rows.doc_id.eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left").select(*columns, "removed")
     return joined.mapInArrow(_rebuilt, "doc_id long, text string, lang string, source string, n_chars long")
