@@ -1,7 +1,7 @@
 """Personal data: exact identifiers, and terms that reveal them.
 
-Identifiers (e-mail, IP, card, phone) are the protected entities. A line is a context. Over all contexts of the corpus,
-pointwise mutual information PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) says how much a term t reveals of an entity
+Identifiers (e-mail, IP, card, phone) are the protected entities. A context is a line; equal lines are one context
+throughout, so copies change nothing. Over all contexts of the corpus, pointwise mutual information PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) says how much a term t reveals of an entity
 e, whose whole information is IC(e) = log2(N / n(e)). Terms of e's contexts that disclose at least GENERALISE of IC(e)
 are generalised to their kind wherever they stand, in any text; those that disclose at least REMOVE are removed. A term needs SUPPORT different
 contexts with e, so that chance neighbours of an entity seen once, or copies of one line, prove nothing.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -80,12 +81,13 @@ def _hash(text: str) -> int:
 
 def neighbours(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """Each line with identifiers: its hash, its entities, and its terms, identifiers themselves left out."""
-    lines: dict[tuple[int, int], list[tuple[str, int, int]]] = {}
+    ends = [i for i, c in enumerate(text) if c == "\n"] + [len(text)]
+    lines: dict[int, list[tuple[str, int, int]]] = {}
     for span in spans:
-        lo, hi = text.rfind("\n", 0, span[1]) + 1, text.find("\n", span[2])
-        lines.setdefault((lo, len(text) if hi < 0 else hi), []).append(span)
+        lines.setdefault(bisect_left(ends, span[1]), []).append(span)
     out = []
-    for (lo, hi), own in lines.items():
+    for i, own in lines.items():
+        lo, hi = ends[i - 1] + 1 if i else 0, ends[i]
         entities = {_hash(f"{kind}:{text[s:e]}") for kind, s, e in own}
         terms = {_hash(m.group().lower()) for a, b in outside(text, own, lo, hi) if (m := _TERM.search(text, a, b))}
         out.append({"context": _hash(text[lo:hi]), "entities": sorted(entities), "terms": sorted(terms)})
@@ -125,28 +127,65 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(base, pa.string()), pa.array(counts, pa.list_(pa.int64())), pa.array(near, _NEAR)], ["doc_id", "version", "base", "counts", "near"])
 
 
-def _contexts(batches):
-    """Term -> lines that hold it, summed a batch; term 0 counts the lines."""
-    memory: dict[str, int] = {}
-    for batch in batches:
-        counts: Counter = Counter()
-        lines = 0
-        for text in batch.column(0).to_pylist():
-            for line in text.split("\n") if text else ():
-                lines += 1
-                counts.update(set(line.lower().split()))
-        merged: Counter = Counter()
-        for word, n in counts.items():
-            if (term := memory.get(word)) is None:
-                m = _TERM.search(word)
-                term = _hash(m.group()) if m else 0
-                if len(memory) >= 300_000:
-                    memory.clear()
-                memory[word] = term
-            if term:
-                merged[term] += n
-        merged[0] = lines
-        yield pa.RecordBatch.from_arrays([pa.array(list(merged), pa.int64()), pa.array(list(merged.values()), pa.int64())], ["term", "n"])
+class _Terms(dict):
+    """Lower-case word -> hash of its term, 0 without one; emptied when large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 300_000:
+            self.clear()
+        m = _TERM.search(word)
+        self[word] = out = _hash(m.group()) if m else 0
+        return out
+
+
+def _distinct_lines(batch) -> set[str]:
+    return {line for text in batch.column(0).to_pylist() if text for line in text.split("\n")}
+
+
+def _contexts(shared):
+    """(term, n, line): of each term that a broadcast bitmap lets pass, its different lines in a batch; with term 0, each line's hash."""
+
+    def run(batches):
+        terms = _Terms()
+        for batch in batches:
+            lines = _distinct_lines(batch)
+            words: Counter = Counter()
+            for line in lines:
+                words.update(set(line.lower().split()))
+            own, n = np.array([terms[w] for w in words], np.int64), np.fromiter(words.values(), np.int64, len(words))
+            keep = (own != 0) & maybe_members(shared.value, own) if len(own) else np.zeros(0, bool)
+            found, at = np.unique(own[keep], return_inverse=True)
+            # words of one term may share lines; the least that is sure is their largest count
+            least = np.zeros(len(found), np.int64)
+            np.maximum.at(least, at, n[keep])
+            hashes = np.fromiter(map(_hash, lines), np.int64, len(lines))
+            zeros = np.zeros(len(lines), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([zeros, found])), pa.array(np.concatenate([zeros, least])), pa.array(np.concatenate([hashes, np.zeros(len(found), np.int64)]))], ["term", "n", "line"])
+
+    return run
+
+
+def _term_lines(shared):
+    """(term, line): hashes of the terms that a broadcast bitmap lets pass, and of the different lines that hold them."""
+
+    def run(batches):
+        terms, passes = _Terms(), {}
+        for batch in batches:
+            out = set()
+            for line in _distinct_lines(batch):
+                held = {terms[w] for w in line.lower().split()}
+                new = [t for t in held if t not in passes]
+                if new:
+                    if len(passes) > 300_000:
+                        passes.clear()
+                        new = list(held)
+                    passes.update(zip(new, maybe_members(shared.value, np.array(new, np.int64)).tolist(), strict=True))
+                if hit := [t for t in held if t and passes[t]]:
+                    h = _hash(line)
+                    out.update((t, h) for t in hit)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(2)], ["term", "line"])
+
+    return run
 
 
 def _marked(shared):
@@ -178,19 +217,29 @@ def _marked(shared):
 
 def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
     """(entity, term, share): how much of the entity's information a term gives away, where it is at least GENERALISE."""
-    # equal lines have equal entities and terms: different contexts are counted
-    lines = found.select(F.explode("near").alias("x")).select("x.*").dropDuplicates(["context"])
-    pairs = lines.select("entities", F.explode("terms").alias("term")).select("term", F.explode("entities").alias("entity")).groupBy("entity", "term").agg(F.count("*").alias("support"))
-    entities = lines.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("contexts"))
-    pairs = cut(pairs.filter(F.col("support") >= SUPPORT), "pairs")
-    wanted = pairs.select("term").distinct().unionAll(texts.sparkSession.range(1).select(F.col("id").alias("term")))
-    counts = texts.select("text").mapInArrow(_contexts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    counts = cut(counts.join(wanted, "term", "left_semi"), "terms")
-    total = counts.filter("term = 0").agg(F.coalesce(F.max("n"), F.lit(1)).alias("total"))
-    scored = pairs.join(entities, "entity").join(counts.filter("term <> 0"), "term").crossJoin(F.broadcast(total))  # one row
-    # n(e, t) and n(e) are different lines; n(t) counts all lines, copies too, which is cautious
-    pmi = F.log2(F.col("support") * F.col("total") / (F.col("contexts") * F.greatest("n", "support")))
-    whole = F.log2(F.col("total") / F.col("contexts"))
+    context = texts.sparkSession.sparkContext
+    lines = cut(found.select(F.explode("near").alias("x")).select("x.*").dropDuplicates(["context"]), "lines")
+
+    def often(column: str) -> tuple[DataFrame, DataFrame]:
+        """(context, value) of the values with at least SUPPORT contexts, and those values' numbers of contexts."""
+        rows = lines.select("context", F.explode(column).alias("value"))
+        counts = rows.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
+        return rows.join(counts.select("value"), "value", "left_semi"), counts
+
+    (with_entity, entities), (with_term, _) = often("entities"), often("terms")
+    both = with_entity.withColumnRenamed("value", "entity").join(with_term.withColumnRenamed("value", "term"), "context")
+    pairs = both.groupBy("entity", "term").agg(F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
+    pairs = cut(pairs.join(entities.select(F.col("value").alias("entity"), F.col("n").alias("contexts")), "entity"), "pairs")
+    spread = cut(texts.select("text").mapInArrow(_contexts(context.broadcast(membership(pairs, "term"))), "term long, n long, line long"), "contexts")
+    total = spread.filter("term = 0").select("line").distinct().count()
+    # a share of GENERALISE needs n(t) <= n(e, t) * (N / n(e)) ** (1 - GENERALISE); a batch's different lines are no more than all
+    most = F.col("support") * F.pow(F.lit(float(max(total, 1))) / F.col("contexts"), F.lit(1 - GENERALISE)) + 1
+    least = spread.filter("term <> 0").groupBy("term").agg(F.max("n").alias("least"))
+    pairs = cut(pairs.join(least, "term").filter(F.col("least") <= most).drop("least"), "rare")
+    counts = texts.select("text").mapInArrow(_term_lines(context.broadcast(membership(pairs, "term"))), "term long, line long").distinct().groupBy("term").agg(F.count("*").alias("n"))
+    scored = pairs.join(counts, "term")
+    pmi = F.log2(F.col("support") * F.lit(float(total)) / (F.col("contexts") * F.col("n")))
+    whole = F.log2(F.lit(float(total)) / F.col("contexts"))
     return scored.withColumn("share", F.when(whole > 0, pmi / whole).otherwise(0.0)).filter(F.col("share") >= GENERALISE).select("entity", "term", "share")
 
 

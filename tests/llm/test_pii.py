@@ -1,10 +1,13 @@
 import hashlib
+import random
 import re
+import time
+from math import log2
 
 from hypothesis import given
 from hypothesis import strategies as st
 
-from scriptorium.llm.pii import identifiers, luhn, personal_data, sanitised
+from scriptorium.llm.pii import _TERM, GENERALISE, REMOVE, SUPPORT, identifiers, luhn, neighbours, personal_data, sanitised
 
 
 def plain(text):
@@ -50,7 +53,7 @@ def test_rows_terms_and_sanitising(spark):
 
 def test_far_terms_are_marked_everywhere(spark):
     far = " ".join(f"w{i}" for i in range(30))
-    rows = [(i, f"common words fill line number {i % 7} here and there {far}") for i in range(995)] * 2
+    rows = [(i, f"common words fill line number {i} here and there {far}") for i in range(995)] * 2
     told = [f"Zyxw {x} {far} bob.x@mail.org" for x in ("once", "twice", "again", "often", "seldom")]
     rows += [(1000 + i, t) for i, t in enumerate(told)] + [(2000, "no address\nbut zyxw, twice: ZYXW"), (2001, "bob.x@mail.org\nzyxw"), (2001, "bob.x@mail.org\nzyxw"), (None, "zyxw")]
     got = personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -59,3 +62,60 @@ def test_far_terms_are_marked_everywhere(spark):
     assert marked(2000) == ["term_general:15:19,term_general:28:32"] and marked(None) == ["term_general:0:4"]
     assert marked(2001) == ["email:0:14,term_general:15:19"] * 2
     assert not any(r.spans for r in got if r.doc_id is not None and r.doc_id < 1000)
+
+
+def slow_shares(texts):
+    """Term -> largest share it discloses of an identifier, over different lines."""
+    lines = {line for t in texts if t for line in t.split("\n")}
+    held = {}
+    for line in lines:
+        spans = identifiers(line)
+        covered = lambda a, b, spans=spans: any(s < b and a < e for _, s, e in spans)
+        words = [(m.start(), m.end()) for m in re.finditer(r"\S+", line)]
+        outside = {m.group().lower() for a, b in words if not covered(a, b) and (m := _TERM.search(line, a, b))}
+        anywhere = {m.group() for w in line.lower().split() if (m := _TERM.search(w))}
+        held[line] = ({f"{k}:{line[s:e]}" for k, s, e in spans}, outside, anywhere)
+    out = {}
+    for entity in {e for es, _, _ in held.values() for e in es}:
+        own = [v for v in held.values() if entity in v[0]]
+        for term in {t for v in own for t in v[1]}:
+            n = sum(term in v[1] for v in own)
+            if n >= SUPPORT:
+                whole = log2(len(lines) / len(own))
+                share = log2(n * len(lines) / (len(own) * sum(term in v[2] for v in held.values()))) / whole if whole > 0 else 0.0
+                if share >= GENERALISE:
+                    out[term] = max(out.get(term, 0.0), share)
+    return out
+
+
+def test_disclosures_by_brute_force_and_doubled(spark):
+    rng = random.Random(6)
+    people = [(f"p{i}@mail.org", f"Nickname{i}") for i in range(6)]
+    common = [f"word{i}" for i in range(40)]
+    line = lambda: " ".join(rng.choices(common, k=rng.randint(3, 9)))
+    texts = []
+    for _ in range(300):
+        parts = [line()]
+        if rng.random() < 0.4:
+            address, name = rng.choice(people)
+            parts.append(f"{line()} {address} {name if rng.random() < 0.8 else rng.choice(people)[1]} {rng.choice(common)}")
+        if rng.random() < 0.1:
+            parts.append(f"{rng.choice(people)[1].upper()} {line()}")
+        texts.append("\n".join(parts))
+    shares = slow_shares(texts)
+    assert len(shares) >= 4
+    once = personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in once:
+        text = texts[r.doc_id]
+        want = sorted(("term_remove" if shares[m.group().lower()] >= REMOVE else "term_general", m.start(), m.end()) for w in re.finditer(r"\S+", text) if not any(s < w.end() and w.start() < e for _, s, e in identifiers(text)) and (m := _TERM.search(text, w.start(), w.end())) and m.group().lower() in shares)
+        assert r.spans == ",".join([f"{k}:{s}:{e}" for k, s, e in [*plain(text), *want]])
+    twice = personal_data(spark.createDataFrame([(i + 1000 * k, t) for k in range(2) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)).collect()
+    spans = {r.doc_id: r.spans for r in once}
+    assert len(twice) == 600 and all(r.spans == spans[r.doc_id % 1000] for r in twice)
+
+
+def test_many_addresses_on_a_line():
+    text = " ".join(f"user{i}@mail.org word{i}" for i in range(20_000))
+    began = time.perf_counter()
+    (found,) = neighbours(text, identifiers(text))
+    assert time.perf_counter() - began < 1 and len(found["entities"]) == len(found["terms"]) == 20_000
