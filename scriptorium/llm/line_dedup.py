@@ -23,11 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_members, membership
+from .common import cut, maybe_members, membership, partitions
 from .graph import connected_components
 
 #: Code points of a line for each tolerated edit, and edits at most; shorter lines are compared exactly.
 PER_EDIT, MOST = 10, 2
+#: Characters whose keys are made at once, and characters of the corpus for each bucket of keys.
+KEY_CHARS, BUCKET_CHARS = 2_000_000, 8_000_000
 #: Lines of different classes that a key may hold before it is split.
 HOT = 64
 #: A rest of so many code points for each of t + 1 segments is not cut again.
@@ -168,12 +170,14 @@ def line_id(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def parity(line: str) -> int:
-    """64 parities of character counts: an edit flips two of them at most."""
-    out = 0
-    for c in line:
-        out ^= 1 << (ord(c) * 0x9E3779B1 >> 7 & 63)
-    return out - 2**63
+def parities(lines: list[str]) -> np.ndarray:
+    """Of each line, 64 parities of character counts: an edit flips two of them at most."""
+    if not lines:
+        return np.zeros(0, np.int64)
+    text = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    bits = np.uint64(1) << (text * np.uint64(0x9E3779B1) >> np.uint64(7) & np.uint64(63))
+    return np.bitwise_xor.reduceat(bits, np.cumsum(sizes) - sizes).view(np.int64)
 
 
 def _documents(batches):
@@ -186,34 +190,67 @@ def _distinct(batch, shortest: int) -> list[str]:
     return list({s for t in batch.column(1).to_pylist() if t for line in t.split("\n") if len(s := line.strip()) >= shortest})
 
 
-def _keys(per_edit: int, most: int):
+def _keyed(batch, per_edit: int, most: int):
+    """(lines, their ids, keys, line of each key) of a batch, some characters at a time."""
+    lines, own, held = _distinct(batch, per_edit), [], 0
+    for i, line in enumerate(lines, 1):
+        own.append(line)
+        held += len(line)
+        if held >= KEY_CHARS or i == len(lines):
+            yield own, np.fromiter(map(line_id, own), np.int64, len(own)), *line_keys(own, per_edit, most)
+            own, held = [], 0
+
+
+def _ends(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each key, in order: its least and greatest id."""
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return (keys[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)) if len(first) else (keys, ids, ids)
+
+
+def _keys(per_edit: int, most: int, buckets: int):
+    """Keys in buckets by their range, with one or two lines each: enough to tell whether different lines share one."""
+
     def run(batches):
         for batch in batches:
-            lines = _distinct(batch, per_edit)
-            keys, owners = line_keys(lines, per_edit, most)
-            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[owners])], ["key", "lid"])
+            parts = [(keys, ids[owners]) for _, ids, keys, owners in _keyed(batch, per_edit, most)]
+            if not parts:
+                continue
+            keys, low, high = _ends(*map(np.concatenate, zip(*parts, strict=True)))
+            two = low != high
+            keys, ids = np.concatenate([keys, keys[two]]), np.concatenate([low, high[two]])
+            bucket = (keys.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            order = np.argsort(bucket, kind="stable")
+            found, first = np.unique(bucket[order], return_index=True)
+            cut_at = lambda x: [p.tobytes() for p in np.split(x[order], first[1:])]  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(cut_at(keys), pa.binary()), pa.array(cut_at(ids), pa.binary())], ["bucket", "keys", "lids"])
 
     return run
 
 
+def _shared_keys(table: pa.Table) -> pa.Table:
+    keys, ids = (np.concatenate([np.frombuffer(c.as_buffer(), np.int64) for c in table.column(n)]) for n in ("keys", "lids"))
+    keys, low, high = _ends(keys, ids)
+    return pa.table({"key": pa.array(keys[low != high])})
+
+
 def _candidates(per_edit: int, most: int, shared):
     """Lines with keys that a broadcast bitmap lets pass, and those keys."""
 
     def run(batches):
         for batch in batches:
-            lines = _distinct(batch, per_edit)
-            keys, owners = line_keys(lines, per_edit, most)
-            keep = maybe_members(shared.value, keys)
-            keys, owners = keys[keep], owners[keep]
-            order = np.argsort(owners, kind="stable")
-            found, first = np.unique(owners[order], return_index=True)
-            own = [lines[i] for i in found.tolist()]
-            offsets = pa.array(np.append(first, len(order)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([line_id(s) for s in own], pa.int64()), pa.array(own, pa.string()), pa.array([len(s) for s in own], pa.int32()), pa.array([parity(s) for s in own], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys[order]))],
-                ["lid", "line", "size", "parity", "keys"],
-            )
+            for lines, ids, keys, owners in _keyed(batch, per_edit, most):
+                keep = maybe_members(shared.value, keys)
+                keys, owners = keys[keep], owners[keep]
+                order = np.argsort(owners, kind="stable")
+                found, first = np.unique(owners[order], return_index=True)
+                own = [lines[i] for i in found.tolist()]
+                offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[found]), pa.array(own, pa.string()), pa.array([len(s) for s in own], pa.int32()), pa.array(parities(own)), pa.ListArray.from_arrays(offsets, pa.array(keys[order]))],
+                    ["lid", "line", "size", "parity", "keys"],
+                )
 
     return run
 
@@ -322,11 +359,15 @@ def _within_keys(apart: DataFrame, lines: DataFrame, facts: DataFrame, plausible
 def line_classes(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) -> DataFrame:
     """(node, root): stripped lines, by id, that reach another line by links of tolerated edits."""
     plain = docs.select("doc_id", "text")
-    rows = plain.mapInArrow(_keys(per_edit, most), "key long, lid long")
-    shared = cut(rows.groupBy("key").agg(F.min("lid").alias("center"), F.max("lid").alias("last")).filter("center < last").select("key", "center"), "shared")
+    chars = plain.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    buckets = max(partitions(docs.sparkSession), -(-chars // BUCKET_CHARS))
+    rows = plain.mapInArrow(_keys(per_edit, most, buckets), "bucket long, keys binary, lids binary")
+    shared = cut(rows.groupBy("bucket").applyInArrow(_shared_keys, "key long"), "shared")
     some = docs.sparkSession.sparkContext.broadcast(membership(shared, "key"))
     lines = cut(plain.mapInArrow(_candidates(per_edit, most, some), "lid long, line string, size int, parity long, keys array<bigint>").dropDuplicates(["lid"]), "lines")
-    members = cut(lines.select("lid", F.explode("keys").alias("key")).distinct().join(shared, "key"), "members")
+    held = lines.select("lid", F.explode("keys").alias("key")).distinct().join(shared, "key", "left_semi")
+    centers = held.groupBy("key").agg(F.min("lid").alias("center"))
+    members = cut(held.join(centers, "key"), "members")
     facts = lines.select("lid", "size", "parity")
 
     def threshold(p: str, q: str):
