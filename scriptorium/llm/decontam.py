@@ -23,8 +23,10 @@ WINDOW, TOLERATED = 13, 2
 AHEAD = WINDOW - 1 - min(m[-1] for m in MASKS)
 #: Items of SHORTEST to SPAN - 1 tokens are matched whole and exactly; shorter ones are no evidence.
 SHORTEST = 5
-#: Test seeds up to this many rows (about 100 MB with their items) are broadcast; beyond it, seeds are shuffled.
+#: Test seeds up to this many rows are broadcast, each of which holds REACH tokens at most (220 bytes); beyond it, seeds are shuffled.
 BROADCAST_SEEDS = 200_000
+#: Tokens around a seed's place that a verified window can touch.
+REACH = AHEAD + WINDOW
 
 
 def tokens(text: Column) -> Column:
@@ -49,40 +51,58 @@ def _pair(array: str, at: str) -> Column:
     return F.xxhash64(F.get(F.col(array), F.col(at)), F.get(F.col(array), F.col(at) + 1))
 
 
+def _around(array: str, at: str) -> list[Column]:
+    """The tokens from AHEAD before a place to WINDOW - 1 after it, and which of them is the place."""
+    return [F.slice(array, F.greatest(F.col(at) - AHEAD, F.lit(0)) + 1, F.least(F.col(at), F.lit(AHEAD)) + WINDOW), F.least(F.col(at), F.lit(AHEAD))]
+
+
 def _item_seeds(items: DataFrame, lengths: list[int]) -> DataFrame:
-    at = items.select("item_id", "it", F.posexplode("it").alias("ip", "_"))
+    """(item_id, size, iw, ip, seed): seeds of every place of the items, with the tokens around it only."""
+    at = items.select("item_id", "it", F.posexplode("it").alias("at", "_"))
     size = F.size("it")
-    spaced = at.filter(size >= SPAN).select("item_id", "it", "ip", F.explode(_seeds("it", "ip", [])).alias("seed"))
+    window, place = _around("it", "at")
+    kept = ["item_id", size.alias("size"), window.alias("iw"), place.alias("ip")]
+    spaced = at.filter(size >= SPAN).select(*kept, F.explode(_seeds("it", "at", [])).alias("seed"))
     if lengths:
-        whole = reduce(lambda c, n: c.when(size == n, _seed("it", "ip", tuple(range(n)), 100 + n)), lengths, F.when(F.lit(False), F.lit(0).cast("long")))
-        spaced = spaced.unionAll(at.filter((size < SPAN) & (F.col("ip") == 0)).select("item_id", "it", "ip", whole.alias("seed")))
+        whole = reduce(lambda c, n: c.when(size == n, _seed("it", "at", tuple(range(n)), 100 + n)), lengths, F.when(F.lit(False), F.lit(0).cast("long")))
+        spaced = spaced.unionAll(at.filter((size < SPAN) & (F.col("at") == 0)).select(*kept, whole.alias("seed")))
     return spaced.filter("seed is not null").distinct()
 
 
-def _overlap() -> Column:
+def _overlap(array: str, at: str) -> Column:
     """Whether some WINDOW tokens of the item around the hit agree with the text but for TOLERATED ones."""
-    same = [F.get(F.col("dt"), F.col("dp") + o).eqNullSafe(F.get(F.col("it"), F.col("ip") + o)) & F.get(F.col("it"), F.col("ip") + o).isNotNull() for o in range(-AHEAD, WINDOW)]
-    agree = [F.when((F.col("ip") + o >= 0) & (F.col("dp") + o >= 0), s).otherwise(False).cast("int") for o, s in zip(range(-AHEAD, WINDOW), same, strict=True)]
+    same = [F.get(F.col(array), F.col(at) + o).eqNullSafe(F.get(F.col("iw"), F.col("ip") + o)) & F.get(F.col("iw"), F.col("ip") + o).isNotNull() for o in range(-AHEAD, WINDOW)]
+    agree = [F.when((F.col("ip") + o >= 0) & (F.col(at) + o >= 0), s).otherwise(False).cast("int") for o, s in zip(range(-AHEAD, WINDOW), same, strict=True)]
     windows = [reduce(lambda a, b: a + b, agree[s : s + WINDOW]) for s in range(AHEAD + 1)]
-    most, size = F.greatest(*windows), F.size("it")
+    most, size = F.greatest(*windows), F.col("size")
     need = F.when(size < SPAN, size).otherwise(F.least(size, F.lit(WINDOW)) - TOLERATED)
     return most >= need
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, version, item_id), distinct: items of which a text holds a verified overlap; version is the text's hash."""
+    """(doc_id, version, item_id), distinct: items of which a text holds a verified overlap; version is the text's hash.
+
+    A benchmark of few seeds is broadcast and texts are read where they stand. Beyond that only places travel: pairs of
+    tokens, then seeds, are joined by hash, and the tokens around a hit are read again from its text.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("it")).filter(F.size("it") >= SHORTEST)
     lengths = sorted(r[0] for r in items.filter(F.size("it") < SPAN).select(F.size("it")).distinct().collect())  # SPAN - SHORTEST values at most
     seeds = _item_seeds(items, lengths)
-    small = seeds.count() <= BROADCAST_SEEDS
-    seeds = F.broadcast(seeds) if small else seeds
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("dt"))
     # All masks look at positions 0 and 1, so a window is hashed only where the benchmark has that pair of tokens.
-    pairs = items.select("it", F.posexplode("it").alias("ip", "_")).select(_pair("it", "ip").alias("pair")).distinct()
-    pairs = F.broadcast(pairs) if small else pairs
-    spots = texts.select("doc_id", "version", "dt", F.posexplode("dt").alias("dp", "_")).withColumn("pair", _pair("dt", "dp")).join(pairs, "pair", "left_semi")
-    hashed = spots.select("doc_id", "version", "dt", "dp", F.explode(_seeds("dt", "dp", lengths)).alias("seed"))
-    return hashed.join(seeds, "seed").filter(_overlap()).select("doc_id", "version", "item_id").distinct()
+    pairs = items.select("it", F.posexplode("it").alias("at", "_")).select(_pair("it", "at").alias("pair")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("dt"))
+    places = texts.select("doc_id", "version", "dt", F.posexplode("dt").alias("dp", "_")).withColumn("pair", _pair("dt", "dp"))
+    if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
+        spots = places.join(F.broadcast(pairs), "pair", "left_semi")
+        hashed = spots.select("doc_id", "version", "dt", "dp", F.explode(_seeds("dt", "dp", lengths)).alias("seed"))
+        return hashed.join(F.broadcast(seeds), "seed").filter(_overlap("dt", "dp")).select("doc_id", "version", "item_id").distinct()
+    spots = places.select("doc_id", "version", "pair", "dp").join(pairs, "pair", "left_semi")
+    located = spots.groupBy("doc_id", "version").agg(F.collect_set("dp").alias("at")).alias("s")  # no more places than the text has tokens
+    t = texts.dropDuplicates(["doc_id", "version"]).alias("t")
+    again = t.join(located, F.col("t.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("t.version") == F.col("s.version")))
+    window, place = _around("dt", "dp")
+    hashed = again.select("t.doc_id", "t.version", "dt", F.explode("at").alias("dp")).select("doc_id", "version", window.alias("dw"), place.alias("wp"), F.explode(_seeds("dt", "dp", lengths)).alias("seed"))
+    return hashed.join(seeds, "seed").filter(_overlap("dw", "wp")).select("doc_id", "version", "item_id").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -100,25 +120,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return joined.select("d.doc_id", F.col("f.n").isNotNull().alias("contaminated"), F.coalesce("f.n", F.lit(0)).cast("long").alias("n_items"), F.col("f.items").alias("items"))
 
 
-#: In SQL, hits by token tuples of three masks of weight 8, which miss some tolerated substitutions that MASKS find.
+#: The definition itself: tokens that agree under one alignment, counted over any WINDOW places of the item.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
 dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM d),
 bt AS (SELECT item_id, len(w) AS n, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM b WHERE len(w) >= 5),
-dw AS (SELECT doc_id, p, t AS t0, lead(t, 1) OVER z AS t1, lead(t, 2) OVER z AS t2, lead(t, 3) OVER z AS t3, lead(t, 4) OVER z AS t4, lead(t, 5) OVER z AS t5,
-  lead(t, 7) OVER z AS t7, lead(t, 8) OVER z AS t8, lead(t, 9) OVER z AS t9, lead(t, 10) OVER z AS t10 FROM dt WINDOW z AS (PARTITION BY doc_id ORDER BY p)),
-bw AS (SELECT item_id, n, p, t AS t0, lead(t, 1) OVER z AS t1, lead(t, 2) OVER z AS t2, lead(t, 3) OVER z AS t3, lead(t, 4) OVER z AS t4, lead(t, 5) OVER z AS t5,
-  lead(t, 7) OVER z AS t7, lead(t, 8) OVER z AS t8, lead(t, 9) OVER z AS t9, lead(t, 10) OVER z AS t10 FROM bt WINDOW z AS (PARTITION BY item_id ORDER BY p)),
-hits AS (
-  SELECT doc_id, item_id, dw.p AS dp, bw.p AS ip, n FROM dw JOIN bw USING (t0, t1, t2, t4, t5, t7, t9, t10)
-  UNION SELECT doc_id, item_id, dw.p, bw.p, n FROM dw JOIN bw USING (t0, t1, t3, t4, t5, t8, t9, t10)
-  UNION SELECT doc_id, item_id, dw.p, bw.p, n FROM dw JOIN bw USING (t0, t1, t2, t3, t7, t8, t9, t10)),
-agree AS (SELECT doc_id, item_id, dp, ip, n, s.s AS s, count(*) AS m FROM hits CROSS JOIN (SELECT unnest([-2, -1, 0]) AS s) s
-  JOIN dt USING (doc_id) JOIN bt USING (item_id, n) WHERE dt.p BETWEEN dp + s.s AND dp + s.s + 12 AND bt.p - ip = dt.p - dp AND dt.t = bt.t GROUP BY ALL),
-whole AS (SELECT DISTINCT doc_id, item_id FROM (SELECT item_id, n, string_agg(t, ' ' ORDER BY p) AS s FROM bt WHERE n < 11 GROUP BY ALL) i
-  JOIN (SELECT doc_id, ' ' || array_to_string(w, ' ') || ' ' AS s FROM d) x ON contains(x.s, ' ' || i.s || ' ')),
-found AS (SELECT DISTINCT doc_id, item_id FROM agree WHERE m >= least(n, 13) - 2 UNION SELECT doc_id, item_id FROM whole),
+agree AS (SELECT doc_id, item_id, n, dt.p - bt.p AS shift, bt.p AS p FROM dt JOIN bt USING (t)),
+many AS (SELECT * FROM agree QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= 5),
+counted AS (SELECT doc_id, item_id, n, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS m FROM many),
+found AS (SELECT DISTINCT doc_id, item_id FROM counted WHERE m >= CASE WHEN n < 11 THEN n ELSE least(n, 13) - 2 END),
 per AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS items FROM found GROUP BY doc_id)
 SELECT documents.doc_id, per.n IS NOT NULL AS contaminated, coalesce(per.n, 0)::BIGINT AS n_items, per.items FROM documents LEFT JOIN per ON documents.doc_id = per.doc_id
 """

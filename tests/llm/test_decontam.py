@@ -1,17 +1,23 @@
 import random
 from itertools import combinations
 
+import pytest
 from oracle import actual, expected
 
+from scriptorium.llm import decontam
 from scriptorium.llm.decontam import ORACLE, contamination
 
 
-def test_tables_match_sql(spark, sf_dir):
+@pytest.mark.parametrize("broadcast", [decontam.BROADCAST_SEEDS, 0])
+def test_tables_match_sql(spark, sf_dir, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", broadcast)
     got = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     assert actual(got) == expected(ORACLE, sf_dir)
 
 
-def test_substitutions_and_short_items(spark):
+@pytest.mark.parametrize("broadcast", [decontam.BROADCAST_SEEDS, 0])
+def test_substitutions_and_short_items(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", broadcast)
     rng = random.Random(1)
     w = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
     item, short, tiny = w(20), w(6), w(3)
@@ -43,3 +49,11 @@ def test_every_tolerated_substitution_is_found(spark):
     bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
     got = {r.doc_id: r.items for r in contamination(frame, bench).collect()}
     assert [d for d, _, i in docs if got[d] != (None if i is None else str(i))] == []
+
+
+def test_a_very_long_item(spark):
+    rng = random.Random(3)
+    item = [f"t{rng.randrange(10**9)}" for _ in range(100_000)]
+    docs = spark.createDataFrame([(1, " ".join(item[70_000:70_013])), (2, " ".join(item[5:15] + ["x"] * 5)), (3, " ".join(["y"] * 50_000 + item[99_987:])), (3, " ".join(["y"] * 50_000 + item[99_987:]))], "doc_id long, text string")
+    got = contamination(docs, spark.createDataFrame([(1, " ".join(item)), (2, "a b c d e f")], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.items) for r in got if r.contaminated) == [(1, "1"), (3, "1"), (3, "1")]
