@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir of the session; where that is unset, one of our own, which must be local mode's."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="scriptorium-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

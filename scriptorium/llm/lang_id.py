@@ -5,8 +5,8 @@ word; transition weights are learned from sequences that splice stretches of sev
 each word's posterior; a document's language has the largest sum of posteriors. Runs of more than LONGEST code points, as
 in scripts without spaces, are split into pieces that each stand in the chain.
 
-Fitting takes a bounded sample (SAMPLE_DOCS per language, lowest text hash first, SAMPLE_WORDS words each) of labelled
-rows; prediction covers every word of every text.
+Fitting takes a bounded sample (LANGUAGES languages, SAMPLE_DOCS rows of each, lowest text hash first, SAMPLE_WORDS words
+of each, from all over the text) of labelled rows; prediction covers every word of every text.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS, SAMPLE_WORDS = 400, 150
+SAMPLE_DOCS, SAMPLE_WORDS, STRETCHES = 400, 150, 10
+#: Languages that are learned, the most frequent ones.
+LANGUAGES = 100
 DIMENSIONS = 1 << 16
 #: Words of the lexicon: seen at least so often in the sample.
 LEXICON_LEAST = 3
@@ -169,7 +171,7 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     if not languages:
         return None
     index = {lang: i for i, lang in enumerate(languages)}
-    texts = [(index[lang], [c for w in words_of(text)[:SAMPLE_WORDS] if (c := clean(w))]) for lang, text in samples]
+    texts = [(index[lang], [c for w in spread(words_of(text)) if (c := clean(w))]) for lang, text in samples]
     counts = Counter(w for _, words in texts for w in words)
     # slot 0 stands for words outside the lexicon
     model = Field(languages, {w: 1 + zlib.crc32(w.encode("utf-8", "surrogatepass")) % (DIMENSIONS - 1) for w, n in counts.items() if n >= LEXICON_LEAST})
@@ -216,17 +218,35 @@ def fit(samples: list[tuple[str, str]]) -> Field | None:
     return model
 
 
-def _head(text):
-    """The text up to its SAMPLE_WORDS-th word, as words_of splits it."""
-    space = r"\s\x1c-\x1f"
-    return F.regexp_extract(text, rf"(?U)^(?:[{space}]*+[^{space}]{{1,{LONGEST}}}+){{0,{SAMPLE_WORDS}}}", 0)
+def spread(words: list[str], most: int = SAMPLE_WORDS) -> list[str]:
+    """All words, or most of them in STRETCHES runs that lie evenly over the whole text."""
+    if len(words) <= most:
+        return words
+    size = most // STRETCHES
+    starts = [(len(words) - size) * i // (STRETCHES - 1) for i in range(STRETCHES)]
+    return [w for a in starts for w in words[a : a + size]]
+
+
+def _sampled(batches):
+    for batch in batches:
+        texts = [" ".join(spread(words_of(t))) for t in batch.column("text").to_pylist()]
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
 
 def learn(docs: DataFrame, training) -> Field | None:
-    """Fit on the rows of docs(doc_id, text, lang) that satisfy training and have a language and a text."""
-    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", F.xxhash64("text").alias("h"), _head(F.col("text")).alias("text"))
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= SAMPLE_DOCS)
-    return fit([(r.lang, r.text) for r in ranked.select("lang", "h", "doc_id", "text").orderBy("lang", "h", "doc_id").collect()])
+    """Fit on the rows of docs(doc_id, text, lang) that satisfy training and have a language and a text.
+
+    A bounded sample: of the LANGUAGES most frequent languages, SAMPLE_DOCS rows each, by lowest text hash; only their
+    texts are read again. SAMPLE_WORDS words of each come from all over the text.
+    """
+    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", F.xxhash64("text").alias("h"), "text")
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    ranked = rows.select("lang", "h", "doc_id").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= SAMPLE_DOCS)
+    drawn = ranked.join(F.broadcast(common), "lang", "left_semi").groupBy("lang", "h", "doc_id").agg(F.count("*").cast("int").alias("times"))
+    same = F.col("d.h").eqNullSafe(F.col("s.h")) & (F.col("d.lang") == F.col("s.lang")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
+    found = rows.alias("d").join(F.broadcast(drawn.alias("s")), same).select("d.lang", "d.h", "d.doc_id", "text", "times").dropDuplicates(["lang", "h", "doc_id"])
+    texts = found.mapInArrow(_sampled, found.schema).orderBy("lang", "h", "doc_id").collect()  # LANGUAGES * SAMPLE_DOCS rows at most
+    return fit([(r.lang, r.text) for r in texts for _ in range(r.times)])
 
 
 class _Emissions(dict):

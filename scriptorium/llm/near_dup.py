@@ -10,7 +10,9 @@ candidates (a pair at similarity 0.8 is missed with probability (1 - 0.8**ROWS)*
 one class beforehand. In a bucket, all classes first meet one seeded center, another in each bucket, so a class meets as
 many centers as it has buckets. What is still apart is then joined within the bucket, under a condition inside the join:
 exact for sets of up to EXACT shingles, by fingerprints for larger ones. So a group of n near copies costs about n
-pairs, and no link between components is lost.
+pairs, and no link between components is lost. Buckets with more than HOT classes still apart, say half-alike pages of
+one template, are not joined whole: their classes meet by a shingle among the rarest of each (prefix filter), as two
+sets at the threshold must share one of these.
 
 Verification. Pairs pass a joint maximum-likelihood estimate over registers, then an exact comparison of full sets.
 """
@@ -20,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordIds, ascii_words, cut, maybe_members, membership
@@ -35,6 +37,8 @@ BASE, OFFSET = 1.1, 24.0
 FINGERPRINT_SLACK, SLACK = 0.11, 0.09
 #: Sets of up to so many shingles travel with the bucket join and are compared there.
 EXACT = 256
+#: Classes that a bucket may pair.
+HOT = 64
 #: 64-bit words of a fingerprint: two mixed bits a register.
 FINGERPRINT = REGISTERS * 2 // 64
 _P1, _P2, _P3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -121,7 +125,7 @@ def likelihood_jaccard(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndar
     return at
 
 
-_SKETCH = "doc_id long, nid long, n long, keys array<bigint>, bits array<bigint>, regs binary"
+_SKETCH = "doc_id long, version long, nid long, proof long, n long, keys array<bigint>, bits array<bigint>, regs binary"
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -133,7 +137,7 @@ def _sketched(k: int):
     def run(batches):
         ids = WordIds()
         for batch in batches:
-            docs, texts = batch.column(0), batch.column(1)
+            docs, texts, versions = batch.column(0), batch.column(1), batch.column(2)
             for lo in range(0, batch.num_rows, 1024):
                 part = texts.slice(lo, 1024).to_pylist()
                 sets = [shingle_set(ids.array(ascii_words(t)), k) for t in part]
@@ -141,19 +145,21 @@ def _sketched(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         docs.slice(lo, 1024).cast(pa.int64()),
+                        versions.slice(lo, 1024),
                         pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
+                        pa.array([_proof(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         _lists(band_keys(regs)),
                         _lists(fingerprints(regs)),
                         pa.array([r.tobytes() for r in regs], pa.binary()),
                     ],
-                    ["doc_id", "nid", "n", "keys", "bits", "regs"],
+                    ["doc_id", "version", "nid", "proof", "n", "keys", "bits", "regs"],
                 )
 
     return run
 
 
-def _sets(k: int, shared):
+def _sets(k: int, shared, moved: frozenset):
     """(nid, shingles, exact) of the documents that a broadcast bitmap of doc_ids lets pass."""
 
     def run(batches):
@@ -165,7 +171,8 @@ def _sets(k: int, shared):
                 sets = [shingle_set(ids.array(ascii_words(t)), k) for t in batch.column(1).slice(lo, 512).to_pylist()]
                 sets = [s for s in sets if len(s)]
                 exact = [s.view(np.int64) if len(s) <= EXACT else None for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(exact, pa.list_(pa.int64()))], ["nid", "shingles", "exact"])
+                names = [(_class(s), _proof(s)) for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array([_moved(*x) if x in moved else x[0] for x in names], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(exact, pa.list_(pa.int64()))], ["nid", "shingles", "exact"])
 
     return run
 
@@ -174,6 +181,16 @@ def _class(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
 
 
+def _proof(s: np.ndarray) -> int:
+    """A second hash: sets of one class and proof are equal by 128 bits."""
+    return xxhash.xxh3_64_intdigest(s.tobytes(), 1) - 2**63
+
+
+def _moved(nid: int, proof: int) -> int:
+    """The class of a set whose first hash another set has too."""
+    return xxhash.xxh3_64_intdigest(f"{nid} {proof}") - 2**63
+
+
 def _likely(threshold: float):
     def run(batches):
         for batch in batches:
@@ -208,25 +225,22 @@ def _plausible(threshold: float) -> F.Column:
     return sizes & (differ <= int(REGISTERS * 0.75 * (1 - threshold + FINGERPRINT_SLACK)))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of docs(doc_id, text, ...): doc_id, n_shingles, component_id, kept.
+def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of docs(doc_id, text, ...): doc_id, version (the text's hash), n_shingles, least: the smallest (doc_id, version) reachable over links.
 
     Links hold between documents with 100 * |A & B| >= percent * |A | B| of their k-word shingle sets (64-bit hashes;
-    a collision inside a pair of 100,000 shingles has probability below 1e-9). component_id is the smallest doc_id
-    reachable over links, kept says doc_id = component_id (null-safe). Null and empty texts have no shingles and link
-    with nothing. Repeated rows come back repeated, in one component; where a component has no doc_id but null,
-    component_id is null. Other columns of docs are ignored. An empty table gives an empty result.
+    a collision inside a pair of 100,000 shingles has probability below 1e-9). Null and empty texts have no shingles
+    and link with nothing: their least is their own. A null doc_id counts as larger than all others.
     """
     threshold = percent / 100
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
     sketch = cut(plain.mapInArrow(_sketched(k), _SKETCH), "sketch")
-    full = sketch.filter("nid is not null")
-    classes = cut(full.groupBy("nid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "keys", "bits", "regs"))), "classes")
+    sketch, classes, moved = _told_apart(sketch)
     rows = classes.select("nid", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo < hi").select("key")
     small = classes.select("nid", "n", "bits")
     members = cut(rows.join(shared, "key").withColumn("label", F.col("nid")), "members")
-    sets = cut(_set_table(plain, classes, members.select("nid").distinct(), k), "sets")
+    sets = cut(_set_table(plain, classes, members.select("nid").distinct(), k, moved), "sets")
     star = cut(_star_pairs(members, small, threshold), "star")
     edges = cut(_links(star, classes, sets, percent), "links")
     roots = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
@@ -234,17 +248,48 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     edges = cut(edges.unionAll(_links(pairs, classes, sets, percent)), "links")
     roots = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
-    by_root = sketch.select("doc_id", "n", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    by_root = cut(by_root.select("doc_id", "n", "root"), "rooted")
-    least = by_root.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = by_root.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    by_root = sketch.select("doc_id", "version", "n", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    by_root = cut(by_root.select("doc_id", "version", "n", "root"), "rooted")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "version")
+    least = by_root.filter("root is not null").groupBy("root").agg(F.min(own).alias("least"))
+    out = by_root.join(least, "root", "left")
+    return out.select("doc_id", "version", F.col("n").alias("n_shingles"), F.coalesce("least", own).alias("least"))
+
+
+def _classes(sketch: DataFrame) -> DataFrame:
+    return sketch.filter("nid is not null").groupBy("nid").agg(F.min("doc_id").alias("doc_id"), F.min("proof").alias("low"), F.max("proof").alias("high"), *(F.first(c).alias(c) for c in ("n", "keys", "bits", "regs")))
+
+
+def _told_apart(sketch: DataFrame) -> tuple[DataFrame, DataFrame, frozenset]:
+    """sketch and its classes, where different sets with one first hash have got classes of their own; and those sets."""
+    classes = cut(_classes(sketch), "classes")
+    clash = classes.filter("low < high").select("nid", "low").collect()  # a handful at any number of documents, by the birthday bound
+    if not clash:
+        return sketch, classes, frozenset()
+    twice = sketch.filter(F.col("nid").isin([r.nid for r in clash])).select("nid", "proof").distinct().collect()
+    moved = frozenset((r.nid, r.proof) for r in twice) - {(r.nid, r.low) for r in clash}
+    nid = F.col("nid")
+    for old, proof in sorted(moved):
+        nid = F.when((F.col("nid") == old) & (F.col("proof") == proof), F.lit(_moved(old, proof))).otherwise(nid)
+    sketch = cut(sketch.withColumn("nid", nid), "sketch")
+    return sketch, cut(_classes(sketch), "classes"), moved
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of docs(doc_id, text, ...): doc_id, n_shingles, component_id, kept, by components().
+
+    component_id is the smallest doc_id reachable over links, kept says doc_id = component_id (null-safe). Repeated
+    rows come back repeated, in one component; where a component has no doc_id but null, component_id is null. Other
+    columns of docs are ignored. An empty table gives an empty result.
+    """
+    least = F.col("least.doc_id")
+    return components(docs, k, percent).select("doc_id", "n_shingles", least.alias("component_id"), F.col("doc_id").eqNullSafe(least).alias("kept"))
 
 
 def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """members(key, nid) of the buckets that hold several components, with their labels."""
+    """members(key, nid) of the buckets that hold several components, with their labels and the bucket's size."""
     labelled = members.select("key", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("key", "size")
     return labelled.join(mixed, "key")
 
 
@@ -258,18 +303,41 @@ def _star_pairs(members: DataFrame, small: DataFrame, threshold: float) -> DataF
 
 def _all_pairs(members: DataFrame, small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Plausible pairs (x, y), x < y, of members of different components within a bucket; small sets are compared exactly."""
-    full = cut(members.join(small, "nid").join(sets.select("nid", "exact"), "nid", "left"), "full")
+    members = cut(members, "apart")
+    cold = members.filter(F.col("size") <= HOT)
+    full = cut(cold.join(small, "nid").join(sets.select("nid", "exact"), "nid", "left"), "full")
     both = F.size(F.array_intersect("p.exact", "q.exact"))
     alike = F.col("p.exact").isNull() | F.col("q.exact").isNull() | ((100 + percent) * both >= percent * (F.col("p.n") + F.col("q.n")))
     same = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & _plausible(percent / 100) & alike
-    return full.alias("p").join(full.alias("q"), same).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y")).distinct()
+    pairs = full.alias("p").join(full.alias("q"), same).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y"))
+    hot = members.filter(F.col("size") > HOT).select("nid", "label").distinct()
+    return pairs.distinct() if hot.isEmpty() else pairs.unionAll(_rare_pairs(hot, small, sets, percent)).distinct()
+
+
+def _shingles(batches):
+    for batch in batches:
+        own = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
+        n = [len(x) for x in own]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(c).to_numpy(), n)) for c in ("nid", "label")] + [pa.array(np.concatenate(own)), pa.array(np.repeat(n, n).astype(np.int64))], ["nid", "label", "shingle", "n"])
+
+
+def _rare_pairs(hot: DataFrame, small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of hot(nid, label) of different components that share a shingle among the rarest of each."""
+    rows = cut(hot.join(sets.select("nid", "shingles"), "nid").mapInArrow(_shingles, "nid long, label long, shingle long, n long"), "shingles")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
+    ranked = rows.join(often, "shingle").withColumn("rank", F.row_number().over(Window.partitionBy("nid").orderBy("often", "shingle")))
+    # sets of n shingles that reach the threshold share percent * n / 100 of them, so one of the n - that + 1 first in any order
+    first = ranked.filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("often") > 1))
+    full = cut(first.select("nid", "label", "shingle").join(small, "nid"), "rarest")
+    same = (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.label") < F.col("q.label")) & _plausible(percent / 100)
+    return full.alias("p").join(full.alias("q"), same).select(F.least("p.nid", "q.nid").alias("x"), F.greatest("p.nid", "q.nid").alias("y"))
 
 
-def _set_table(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _set_table(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, moved: frozenset) -> DataFrame:
     """(nid, shingles, exact): full sets of the wanted classes, read again from one document each."""
     first = wanted.join(classes.select("nid", "doc_id"), "nid").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
     some = docs.sparkSession.sparkContext.broadcast(membership(first, "doc_id"))
-    return docs.mapInArrow(_sets(k, some), "nid long, shingles binary, exact array<bigint>").join(wanted, "nid", "left_semi").dropDuplicates(["nid"])
+    return docs.mapInArrow(_sets(k, some, moved), "nid long, shingles binary, exact array<bigint>").join(wanted, "nid", "left_semi").dropDuplicates(["nid"])
 
 
 def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from scriptorium.llm.lang_id import accepted, fit, forward_backward, language_id, learn, posteriors, predict, time_major
+from scriptorium.llm.lang_id import accepted, fit, forward_backward, language_id, learn, posteriors, predict, spread, time_major
 
 
 def test_forward_backward_against_enumeration():
@@ -67,6 +67,16 @@ def test_all_letters_of_long_runs_count():
     assert predict(model, [german + english * 40 + german])[0][0] == "en"
 
 
+def test_fitting_reads_all_of_a_text(spark):
+    # only the middle and the end of long texts hold words that tell the languages apart
+    same = "abcdefghij klmnopqrst " * 400
+    rows = [(d, f"{same}{own * 30}{same}{own * 80}", lang) for d in range(40) for own, lang in [("der hund und die katze ", "de") if d % 2 else ("the dog and the cat ", "en")]]
+    rows += [(100 + d, "never learned words", f"rare{d}") for d in range(3)]
+    model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert [p[0] for p in predict(model, ["die katze und der hund", "the cat and the dog"])] == ["de", "en"]
+    assert spread(list("abcdef"), 10) == list("abcdef") and len(spread(list(range(10_000)))) == 150 and spread(list(range(10_000)))[-1] == 9999
+
+
 def test_fitting_reads_all_sample_words(spark):
     # the first 1,200 characters hold no word that tells the languages apart
     same = " ".join(["abcdefghijklmnopqrstuvwxyzabcd"] * 45)

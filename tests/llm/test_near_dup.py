@@ -1,5 +1,7 @@
 import numpy as np
+import pytest
 
+from scriptorium.llm import near_dup
 from scriptorium.llm.common import WordIds, ascii_words
 from scriptorium.llm.graph import connected_components
 from scriptorium.llm.near_dup import likelihood_jaccard, near_duplicates, registers, shingle_set
@@ -40,7 +42,9 @@ def test_tables_match_brute_force(spark, sf_dir):
     assert got(near_duplicates(docs)) == brute(rows, 5, 80)
 
 
-def test_near_copies_chains_ties_and_small_sets(spark):
+@pytest.mark.parametrize("hot", [near_dup.HOT, 1])
+def test_near_copies_chains_ties_and_small_sets(spark, monkeypatch, hot):
+    monkeypatch.setattr(near_dup, "HOT", hot)
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(12)]
     rows += [(20, " ".join(base)), (21, " ".join(base)), (22, ""), (23, "  \t"), (24, "one"), (25, "ONE"), (26, "one two"), (27, "é É"), (28, "É É")]
@@ -84,3 +88,34 @@ def test_components_against_search(spark):
                 todo += near[n]
     found = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert found == {n: r for n, r in want.items() if near[n] != {n}}
+
+
+@pytest.mark.parametrize("hot", [near_dup.HOT, 1])
+def test_half_alike_pages_and_links_among_them(spark, monkeypatch, hot):
+    monkeypatch.setattr(near_dup, "HOT", hot)
+    rng = np.random.default_rng(11)
+    template = [f"t{i}" for i in range(90)]
+    rows = []
+    for i in range(60):
+        own = [f"o{i}_{j}" for j in range(int(rng.integers(18, 30)))]
+        rows.append((i, " ".join(template + own)))
+        if i % 7 == 0:
+            rows.append((100 + i, " ".join([*template[:-2], *own])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicates(docs, 2)) == brute(rows, 2, 80)
+
+
+def test_sets_with_one_first_hash_stay_apart(spark):
+    rows = [(1, 0, 5, 10, 2), (2, 0, 5, 11, 3), (3, 0, 5, 10, 2), (4, 0, 6, 10, 2), (5, 0, None, 1, 0)]
+    sketch = spark.createDataFrame([(*r, [1], [1], b"") for r in rows], near_dup._SKETCH)
+    told, classes, moved = near_dup._told_apart(sketch)
+    assert moved == {(5, 11)}
+    assert sorted((r.doc_id, r.nid) for r in told.filter("nid is not null").collect()) == sorted([(1, 5), (3, 5), (4, 6), (2, near_dup._moved(5, 11))])
+    assert sorted((r.nid, r.n) for r in classes.collect()) == sorted([(5, 2), (6, 2), (near_dup._moved(5, 11), 3)])
+    assert near_dup._told_apart(sketch.filter("proof <> 11"))[2] == frozenset()
+
+
+def test_components_tell_versions_of_a_document(spark):
+    rows = [(3, "a b c"), (3, "x y z"), (1, "a b c"), (None, "x y z"), (None, "only here"), (3, "x y z")]
+    found = [(r.doc_id, r.least.doc_id) for r in near_dup.components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()]
+    assert sorted(found, key=repr) == sorted([(3, 1), (3, 3), (1, 1), (None, 3), (None, None), (3, 3)], key=repr)
