@@ -26,13 +26,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays: its smallest doc_id.
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays: its smallest doc_id and text hash.
 
-    Repeated rows of one doc_id in a group count as one; rows with a null doc_id stay.
+    Two texts of one doc_id are two documents. Repeated rows of one doc_id and text count as one, with their least lang,
+    source and n_chars; rows with a null doc_id stay.
     """
-    kept = near_dup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    stay = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.select(*COLUMNS).filter("doc_id is null")).select(*COLUMNS)
+    kept = near_dup.components(docs).filter((F.col("doc_id") == F.col("least.doc_id")) & (F.col("version") == F.col("least.version"))).select("doc_id", "version").distinct()
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("version"))
+    stay = rows.join(kept, ["doc_id", "version"], "left_semi").groupBy("doc_id", "version").agg(F.first("text").alias("text"), F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
+    return stay.select("doc_id", "text", "rest.*").unionByName(rows.filter("doc_id is null").drop("version")).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +47,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document, repeats included: columns doc_id, size, source_size, target, taken; one row for each row."""
     return mixing.mix(docs)
 
 
 STAGES = [("language_id", identify_language), ("line_dedup", dedup_lines), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("mixing", mix_sources)]
 
-#: Language fields, edit joins and sketches have no SQL; stages are tested against brute force instead.
+#: Language fields, edit joins and sketches have no SQL; every stage is tested against brute force on its own input instead.
 ORACLE_SQL = None
 
 
