@@ -1,7 +1,138 @@
+import re
+import zlib
+from collections import Counter
+
 import corpus_pipeline
+from scriptorium.llm import lang_id
+from scriptorium.llm.common import ascii_words
+from scriptorium.llm.line_dedup import tolerated, within
+from scriptorium.llm.mixing import targets
 from scriptorium.llm.near_dup import near_duplicates
 
 
+def linked(n, links):
+    """Smallest member of each one's group."""
+    up = list(range(n))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        up[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def slow_language(rows):
+    sample = sorted((r.lang, r.doc_id, r.text) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2)
+    model = lang_id.fit([(lang, text) for lang, _, text in sample])
+    found = lang_id.predict(model, [r.text for r in rows])
+    return [r for r, (lang, score) in zip(rows, found, strict=True) if lang != "und" and score >= lang_id.LEAST_SCORE]
+
+
+def slow_lines(rows):
+    """(doc_id, text) left: of each class of near-equal lines only the first line stays."""
+    places = [(r.doc_id, i, line.strip()) for r in sorted(rows, key=lambda r: r.doc_id) for i, line in enumerate(r.text.split("\n")) if line.strip()]
+    lines = list(dict.fromkeys(p[2] for p in places))
+    counts = [Counter(s) for s in lines]
+    links = []
+    by_size = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+    for x, i in enumerate(by_size):
+        t = tolerated(len(lines[i]))
+        for j in by_size[x + 1 :]:
+            if not t or len(lines[j]) - len(lines[i]) > t:
+                break
+            if sum(abs(v) for v in (counts[i] - counts[j]).values()) <= t and within(lines[i], lines[j], t):
+                links.append((i, j))
+    root = dict(zip(lines, linked(len(lines), links), strict=True))
+    first = {}
+    for place in places:
+        first.setdefault(root[place[2]], place[:2])
+    gone = {p[:2] for p in places if first[root[p[2]]] != p[:2]}
+    out = {}
+    for r in rows:
+        left = [line for i, line in enumerate(r.text.split("\n")) if (r.doc_id, i) not in gone]
+        if any(s.strip() for s in left) or len(left) == r.text.count("\n") + 1:
+            out[r.doc_id] = "\n".join(left)
+    return out
+
+
+def slow_groups(rows):
+    sets = []
+    for r in rows:
+        w = ascii_words(r.text)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and 180 * len(sets[i] & sets[j]) >= 80 * (len(sets[i]) + len(sets[j]))]
+    return {rows[i].doc_id for i, root in enumerate(linked(len(rows), links)) if i == root}
+
+
+def slow_clean(rows, items):
+    words = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    items = [w for t in items if len(w := words(t)) >= 5]
+
+    def dirty(text):
+        own = words(text)
+        places = {}
+        for p, w in enumerate(own):
+            places.setdefault(w, []).append(p)
+        for item in items:
+            need = len(item) if len(item) < 11 else min(len(item), 13) - 2
+            shifts = Counter(p - q for q, w in enumerate(item) for p in places.get(w, ()))
+            for shift in (s for s, n in shifts.items() if n >= need):
+                same = [0 <= q + shift < len(own) and own[q + shift] == w for q, w in enumerate(item)]
+                if max(sum(same[q : q + 13]) for q in range(len(item))) >= need:
+                    return True
+        return False
+
+    return {r.doc_id for r in rows if not dirty(r.text)}
+
+
+def test_every_stage_against_brute_force(spark, sf_dir):
+    ran, docs = {}, spark.read.parquet(f"{sf_dir}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    words = max((r.text for r in docs.filter("lang = 'en'").collect()), key=len).split()[100:0:-1]
+    near = " ".join([*words[:50], "changed", "words", *words[52:]])
+    before = docs.unionByName(spark.createDataFrame([(90_001, "12 34 !!", "en", "src0", 8), (90_002, " ".join(words), "en", "src1", 0), (90_003, near, "en", "src2", 0)], docs.schema))
+    for name, stage in corpus_pipeline.STAGES:
+        after = corpus_pipeline.cut(stage(spark, before, sf_dir), f"slow-{name}")
+        ran[name] = (sorted(before.collect(), key=lambda r: r.doc_id), after.collect())
+        before = after
+    rows, got = ran["language_id"]
+    assert len({r.doc_id for r in rows}) == len(rows) and 0 < len(got) < len(rows)
+    # the slow model is fitted on the rows in another order, so scores at the threshold may fall either way
+    assert len({r.doc_id for r in got} ^ {r.doc_id for r in slow_language(rows)}) <= 1
+    rows, got = ran["line_dedup"]
+    assert {r.doc_id: r.text for r in got} == slow_lines(rows)
+    rows, got = ran["near_dedup"]
+    assert sorted(r.doc_id for r in got) == sorted(slow_groups(rows)) and len(got) < len(rows)
+    rows, got = ran["decontamination"]
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert sorted(r.doc_id for r in got) == sorted(slow_clean(rows, items)) and len(got) < len(rows)
+    rows, got = ran["mixing"]
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows}
+    sources = sorted({r.source for r in rows})
+    sums = [sum(size[r.doc_id] for r in rows if r.source == s) for s in sources]
+    goal = dict(zip(sources, targets(sums, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5 * sum(sums)), strict=True))
+    source = {r.doc_id: r.source for r in rows}
+    assert sorted(r.doc_id for r in got) == sorted(size)
+    for r in got:
+        assert r.size == size[r.doc_id] and abs(r.target - goal[source[r.doc_id]]) < 1e-6 and 0 <= r.taken <= 2 * r.size
+    for s in sources:
+        assert abs(sum(r.taken for r in got if source[r.doc_id] == s) - goal[s]) <= 16
+
+
+def test_versions_of_one_document(spark, sf_dir):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "en", "b", 1), (1, text, "en", "a", 1), (1, "another text of the same number", "en", "a", 2), (2, text + " more", None, "a", 3), (None, text, "en", "a", 4), (None, text, "en", "a", 4), (1, text + " end", "en", "a", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for frame in (docs, docs.repartition(5)):
+        left = corpus_pipeline.near_dedup(spark, frame, sf_dir).collect()
+        assert len(left) == 4 and sum(r.doc_id is None for r in left) == 2
+        mine = sorted((r.text, r.source) for r in left if r.doc_id == 1)
+        assert len(mine) == 2 and mine[0] == ("another text of the same number", "a") and mine[1] in ((text, "a"), (text + " end", "a"))
+
+
 def test_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = [f.name for f in docs.schema]
