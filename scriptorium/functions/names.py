@@ -28,9 +28,15 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+def reaches(a: str, b: str, least: float) -> bool:
+    """Whether the ratio is at least so much: lengths, then character counts, rule most pairs out before it is computed."""
+    m = SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least
+
+
 def same_author_forms(a: str, b: str, threshold: float) -> bool:
     """Whether two normal forms name one author: equal, similar, a lone token of the other, or initials and surname."""
-    if a == b or ratio(a, b) >= threshold:
+    if a == b or reaches(a, b, threshold):
         return True
     x, y = a.split(), b.split()
     if len(x) == 1 and x[0] in y or len(y) == 1 and y[0] in x:
@@ -38,7 +44,7 @@ def same_author_forms(a: str, b: str, threshold: float) -> bool:
     if not x or not y or len(x) > len(y):
         return False
     initials = (p[0] == q[0] for p, q in zip(x, y, strict=False) if len(p) == 1 or len(q) == 1)
-    return all(initials) and (x[-1] == y[-1] or ratio(x[-1], y[-1]) > 0.85)
+    return all(initials) and (x[-1] == y[-1] or reaches(x[-1], y[-1], 0.85) and ratio(x[-1], y[-1]) > 0.85)
 
 
 def same_author(threshold: float = 0.85):

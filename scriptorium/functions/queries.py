@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import query
-from . import dates, identity, names, text, urls
+from . import contracts, dates, identity, names, replies, text, urls
 
 
 @query("fn01_hashes", "SELECT doc_id, sha256(text) AS h FROM documents")
@@ -54,7 +54,10 @@ def likely_content(t):
     return t.pages.select("page_id", urls.likely_content(F.concat(head, part, query_)).alias("ok"))
 
 
-@query("fn10_canonical_title")
+@query(
+    "fn10_canonical_title",
+    "SELECT title, 'The State of ' || CASE p WHEN 'HIGH' THEN 'High' WHEN 'URGENT' THEN 'Urgent' WHEN 'MEDIUM' THEN 'Medium' WHEN 'NOT SPECIFIED' THEN 'Not Specified' WHEN 'LOW' THEN 'Low' END || ' in Vol II' AS canonical, n FROM (SELECT 'THE STATE OF ' || upper(substr(o_orderpriority, 3)) || ' IN VOL II' AS title, upper(substr(o_orderpriority, 3)) AS p, count(*) AS n FROM orders GROUP BY 1, 2)",
+)
 def titles(t):
     """Titles in capitals get title case; others keep theirs."""
     return t.orders.groupBy(F.concat(F.lit("THE STATE OF "), F.upper(F.substring("o_orderpriority", 3, 99)), F.lit(" IN VOL II")).alias("title")).agg(F.count("*").alias("n")).select("title", names.canonical_title("title").alias("canonical"), "n")
@@ -158,3 +161,87 @@ def ranges(t):
     y = F.year("o_orderdate")
     line = F.concat(F.lit("in "), y.cast("string"), F.lit("-"), F.lpad(((y + 2) % 100).cast("string"), 2, "0"), F.lit(" and again "), y.cast("string"))
     return t.orders.filter(y % 100 < 98).select("o_orderkey", F.array_join(F.transform(dates.years_of_ranges(line), lambda v: v.cast("string")), ",").alias("years"))
+
+
+@query("fn08_on_domain", r"SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) IN ('ththan.example.com', 'www.ththan.example.com') AS ok FROM pages")
+def on_domain(t):
+    return t.pages.select("page_id", urls.on_domain(F.col("url"), "ththan.example.com").alias("ok"))
+
+
+@query(
+    "fn13_title_similarity",
+    """SELECT p_partkey, round(CASE k WHEN 0 THEN 1.0 WHEN 1 THEN 0.55 * (2.0 * length(p_name) / (2 * length(p_name) + 11)) + 0.45 * (w / (w + 2.0)) ELSE 0.0 END, 9)::DOUBLE AS similarity
+    FROM (SELECT p_partkey, p_name, p_partkey % 3 AS k, len(list_distinct(string_split(p_name, ' '))) AS w FROM part)""",
+)
+def title_similarity(t):
+    from ..plans.catalog import best_similarity, title_norm
+
+    label = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" Volume, Two"))).otherwise("")
+    return t.part.select("p_partkey", F.round(best_similarity(title_norm(label), F.array(title_norm(F.col("p_name")))), 9).alias("similarity"))
+
+
+@query("fn14_same_author", "SELECT c_custkey, c_custkey % 6 < 4 AS same FROM customer")
+def same_author(t):
+    """Equal forms, a typing error, a lone surname and initials name one author; other initials and other surnames don't."""
+    last = F.translate(F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 10), "0123456789abcdef", "bcdfgklmnprstvzh")
+    name = F.concat(F.lit("Wilhelmina "), last)
+    k = F.col("c_custkey") % 6
+    other = F.when(k == 0, F.concat(F.lit(" wilhelmina  "), last, F.lit(" Jr."))).when(k == 1, F.concat(F.lit("Wilhelmine "), last)).when(k == 2, last).when(k == 3, F.concat(F.lit("W. "), last)).when(k == 4, F.concat(F.lit("E. "), last)).otherwise(F.concat(F.lit("Wolfgang "), F.reverse(last), F.lit("qqqqq")))
+    forms = t.customer.select("c_custkey", names.match_form(other).alias("a"), names.match_form(name).alias("b"))
+    return forms.select("c_custkey", names.same_author(0.85)("a", "b").alias("same"))
+
+
+@query("fn15_title_norm", r"SELECT p_partkey, trim(regexp_replace(regexp_replace(lower('The ' || p_name || ': No. ' || p_size || ' (new)!'), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm FROM part")
+def title_norms(t):
+    from ..plans.catalog import title_norm
+
+    return t.part.select("p_partkey", title_norm(F.concat(F.lit("The "), "p_name", F.lit(": No. "), F.col("p_size").cast("string"), F.lit(" (new)!"))).alias("norm"))
+
+
+@query("fn18_enum_labels", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'assert' WHEN 1 THEN 'deny' END AS polarity, CASE event_id % 4 WHEN 2 THEN 'Maybe' END AS polarity_raw, CASE event_id % 2 WHEN 0 THEN 'must' END AS modality FROM events")
+def enum_labels(t):
+    """Unknown labels become null with the raw value beside them; a modality must be known, and is here."""
+    from ..plans.extraction import ALLOWED, allowed, raw_if_unknown
+
+    raw = F.element_at(F.array(F.lit(" Assert"), F.lit("DENY"), F.lit("Maybe"), F.lit(None).cast("string")), (F.col("event_id") % 4 + 1).cast("int"))
+    modality = F.when(F.col("event_id") % 2 == 0, "must")
+    return t.events.select("event_id", allowed(raw, "polarity").alias("polarity"), raw_if_unknown(raw, "polarity").alias("polarity_raw"), replies.checked_label(modality, ALLOWED["modality"], "modality").alias("modality"))
+
+
+@query("fn19_first_object", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"k": ' || event_id || ', "s": "a } b"}' WHEN 1 THEN '{"in": {"k": ' || event_id || '}}' END AS found FROM events""")
+def first_objects(t):
+    """The first balanced object of a reply, whatever stands around it; arrays and broken objects are none."""
+    from ..plans.extraction import json_object
+
+    number, k = F.col("event_id").cast("string"), F.col("event_id") % 4
+    reply = F.when(k == 0, F.concat(F.lit('Sure: ```json {"k": '), number, F.lit(', "s": "a } b"} ``` and {"x": 1}'))).when(k == 1, F.concat(F.lit('{not json} {"in": {"k": '), number, F.lit("}}"))).when(k == 2, F.lit('[1, 2] {"open": ')).otherwise("nothing")
+    return t.events.select("event_id", json_object(reply).alias("found"))
+
+
+@query("fn20_repaired_keys", """SELECT event_id, CASE event_id % 3 WHEN 0 THEN '{"gloss":"value of goods","term":"' || event_type || '"}' WHEN 1 THEN '{"gloss":"labour that is already embodied","term":"' || event_type || '"}' END AS repaired FROM events""")
+def repaired_keys(t):
+    k = F.col("event_id") % 3
+    value = F.when(k == 0, F.concat(F.lit('{" term :": "'), "event_type", F.lit('", "gloss :": "value of goods"}'))).when(k == 1, F.concat(F.lit('{"term": "'), "event_type", F.lit('", "original_term_vernacular:": "labour that is already embodied"}'))).otherwise("{broken")
+    found = F.from_json(replies.repaired(value), "map<string,string>")
+    return t.events.select("event_id", F.to_json(F.map_from_entries(F.filter(F.array_sort(F.map_entries(found)), lambda e: e["value"].isNotNull()))).alias("repaired"))
+
+
+@query(
+    "fn21_contract_violations",
+    """SELECT event_id, CASE event_id % 7 WHEN 1 THEN '$.claims: missing' WHEN 2 THEN '$.claims[0].claim_text: not string' WHEN 3 THEN '$.claims[0].confidence: above 1; $.claims[0].evidence: too few' WHEN 4 THEN '$.claims[0].polarity: not allowed'
+    WHEN 5 THEN '$: no JSON' END AS violations, event_id % 7 = 0 AS in_range FROM events""",
+)
+def contract_violations(t):
+    """Replies against their contract, and whether evidence points at sentences that exist."""
+    k = F.col("event_id") % 7
+    claim = lambda rest: F.lit('{"claims": [{"claim_text": "All is flux", ' + rest + "}]}")
+    reply = F.when(k == 1, F.lit('{"other": 1}')).when(k == 2, F.lit('{"claims": [{"claim_text": 4, "evidence": [9]}]}')).when(k == 3, claim('"confidence": 1.5, "evidence": []')).when(k == 4, claim('"polarity": "maybe", "evidence": [7]')).when(k == 5, "{").when(k == 6, claim('"polarity": null, "evidence": [0, 3]')).otherwise(claim('"confidence": null, "evidence": [0, 2]'))
+    indices = F.flatten(F.transform(F.from_json(reply, contracts.ddl(contracts.CLAIMS))["claims"], lambda c: c["evidence"]))
+    return t.events.select("event_id", contracts.checked(contracts.CLAIMS)(reply).alias("violations"), (replies.in_range(indices, F.lit(3)) & (F.size(indices) > 0)).alias("in_range"))
+
+
+@query("fn29_sql_scalars", "SELECT o_orderkey, coalesce(nullif(o_orderpriority, '5-LOW'), 'none') AS a, lower(o_orderpriority) AS b, CAST(o_orderkey AS VARCHAR) AS c, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS d, strftime(o_orderdate, '%Y-%m-%d') AS e, greatest(year(o_orderdate), 1995)::BIGINT AS f FROM orders")
+def sql_scalars(t):
+    """The SQL scalars of the stored queries, as SQL over a view."""
+    t.orders.createOrReplaceTempView("scalar_orders")
+    return t.spark.sql("SELECT o_orderkey, coalesce(nullif(o_orderpriority, '5-LOW'), 'none') AS a, lower(o_orderpriority) AS b, CAST(o_orderkey AS STRING) AS c, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS d, date_format(o_orderdate, 'yyyy-MM-dd') AS e, CAST(greatest(year(o_orderdate), 1995) AS BIGINT) AS f FROM scalar_orders")

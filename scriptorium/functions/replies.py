@@ -46,6 +46,19 @@ def repaired_keys(value):
     return out
 
 
+@F.pandas_udf(StringType())
+def repaired(texts: pd.Series) -> pd.Series:
+    """Canonical JSON with repaired keys; null for what doesn't parse."""
+
+    def one(text):
+        try:
+            return json.dumps(repaired_keys(json.loads(text)), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        except (TypeError, ValueError):
+            return None
+
+    return texts.map(one)
+
+
 def checked_label(value: Column, allowed: tuple[str, ...], kind: str) -> Column:
     """A label that must be known if present: raises on any other."""
     return F.when(value.isNull() | value.isin(*allowed), value).otherwise(F.raise_error(F.concat(F.lit(f"unknown {kind}: "), value)))

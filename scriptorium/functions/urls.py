@@ -29,6 +29,11 @@ def directory(url: Column) -> Column:
     return F.concat(part(url, "scheme"), F.lit("://"), part(url, "host"), path)
 
 
+def on_domain(url: Column, domain: str) -> Column:
+    """Whether a URL's host is the domain or its www name (FN-08)."""
+    return F.lower(part(url, "host")).isin(domain, f"www.{domain}")
+
+
 #: Endings of resources that are no pages.
 NOT_PAGES = "pdf txt jpg jpeg png gif svg css js json xml zip tar gz mp3 mp4 avi mov wav epub mobi azw3 prc".split()
 

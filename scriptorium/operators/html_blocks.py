@@ -101,7 +101,8 @@ def main_container(root: Node) -> Node | None:
     return next((n for n in root.walk() if n.name == "body"), None)
 
 
-_CHROME = frozenset("script style nav header footer form".split())
+#: Elements, and parts of class names of a div, that are no content.
+_CHROME = frozenset(("script", "style", "nav", "header", "footer", "form"))
 _CHROME_CLASS = re.compile("nav|menu|footer|header", re.I)
 
 
@@ -117,6 +118,7 @@ def strip_noise(node: Node) -> None:
 NOISE_STARTS = ("back to ", "back ", "written:", "first published:", "published:", "source:", "translated:", "transcribed", "transcription", "proofed:", "copyleft:", "permission is granted to copy", "see note in:")
 NOISE_PARTS = ("mia :", "marxists internet archive", "marx-engels archive", "more study guides", "creative commons")
 HEADER_LABELS = ("written", "source", "first published", "published", "translated", "transcribed", "transcription", "transcription/markup", "transcription/mark-up", "public domain", "copyleft")
+#: Fixed value: how a title names its author.
 BY = re.compile(r"\bby\s+([A-Z][A-Za-z .'-]{2,80})\b")
 
 
@@ -196,9 +198,25 @@ def sample(html: str | None, size: int = 800) -> dict:
     return {"title": first.get("title"), "h1": first.get("h1"), "content_sample": " ".join(paragraphs)[:size]}
 
 
+def heading_texts(html: str | None, most: int = 6) -> list[str]:
+    """Texts of the first headings of levels 1 to 3, empty ones left out, then the document's title."""
+    root, found = parse(html), []
+    container = _header_container(root)
+    if container is not None:
+        found = [n for n in container.walk() if n.name in ("h1", "h2", "h3")][:most]
+    found += [n for n in root.walk() if n.name == "title"][:1]
+    return [t for n in found if (t := clean(n.text()))]
+
+
+def _header_container(root: Node) -> Node | None:
+    divs = [n for n in root.walk() if n.name == "div"]
+    tests = (lambda n: n.attributes.get("id") == "content", lambda n: "article" in n.classes())
+    return next((n for test in tests for n in divs if test(n)), next((n for n in root.walk() if n.name == "body"), None))
+
+
 #: Preferred spellings of header labels, and all labels that make a paragraph a header.
 FIELD_NAMES = {"first published": "First Published", "first_published": "First Published", "firstpub": "First Published", "published": "Published", "written": "Written", "date": "Date", "delivered": "Delivered", "source": "Source", "translated": "Translated", "translation": "Translation", "transcription": "Transcription"}
-HEADER_KEYS = frozenset("written|source|first published|published|translated|translation|editor|edition|transcription|transcription/html markup|transcription/markup|transcription/mark-up|markup|mark-up|public domain|copyleft|copyright|notes|date|delivered".split("|"))
+HEADER_KEYS = frozenset(("written", "source", "first published", "published", "translated", "translation", "editor", "edition", "transcription", "transcription/html markup", "transcription/markup", "transcription/mark-up", "markup", "mark-up", "public domain", "copyleft", "copyright", "notes", "date", "delivered"))
 _KEY_VALUE = re.compile(r"^([A-Za-z][A-Za-z /\\-]{2,40}):\s*(.+)$")
 
 
@@ -219,9 +237,9 @@ def _value_after(parent: Node, label: Node) -> str:
 def header_fields(html: str | None) -> dict[str, str]:
     """Label -> value of a page's header paragraphs; the first value of a label wins."""
     root = parse(html)
-    found = [n for n in root.walk() if n.name == "div" and n.attributes.get("id") == "content"] or [n for n in root.walk() if n.name == "div" and "article" in n.classes()] or [n for n in root.walk() if n.name == "body"]
+    container = _header_container(root)
     out: dict[str, str] = {}
-    for p in (n for n in (found[0].walk() if found else ()) if n.name == "p"):
+    for p in (n for n in (container.walk() if container is not None else ()) if n.name == "p"):
         parents = {id(c): n for n in [p, *p.walk()] for c in n.children if isinstance(c, Node)}
         spans = [n for n in p.walk() if n.name == "span" and "info" in n.classes()]
         text = clean(p.text())

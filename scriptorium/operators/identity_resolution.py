@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import match_form, same_author, sort_name, variant_type
 from ..registry import query
 from .graph import breadth_first, checkpointed, components
 
-#: Character n-gram size and reach of the blocks in which names are compared.
-GRAM = 3
+#: Character n-gram size, and the least share of the shorter form's n-grams that similar forms have in common.
+GRAM, SHARED = 3, 0.2
 
 
 def candidate_pairs(names: DataFrame) -> DataFrame:
-    """names(id, rank, form) -> pairs of names to compare: those that share a word, or many character n-grams.
+    """names(id, rank, form) -> pairs of names to compare: a common last word, a lone word of the other, or many common n-grams.
 
-    A similarity of 0.85 needs common blocks that cover 85 % of both forms, so two forms of n and m characters share at
-    least one run of GRAM characters; a lone token and initials with surname share a word or its near spelling.
+    A similarity of 0.85 needs common blocks that cover 85 % of both forms; each block edge costs GRAM - 1 n-grams, so at
+    least SHARED of the shorter form's n-grams are common. Forms so alike differ little in length, so of each form only
+    its rarest n-grams are joined, without the SHARED * 0.7 most frequent ones but one: a pair must meet in one of these,
+    and no n-gram that most names hold pairs them all. Names of one last word are one author by rule, or nearly.
     """
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("form") - GRAM + 1, F.lit(1))), lambda i: F.substring(F.col("form"), i, F.lit(GRAM))))
-    keys = F.array_distinct(F.concat(F.transform(F.split("form", " "), lambda w: F.concat(F.lit("w:"), w)), F.transform(grams, lambda g: F.concat(F.lit("g:"), g))))
-    blocks = names.select("id", "rank", "form", F.size(grams).alias("n"), F.explode(keys).alias("key"))
-    a, b = blocks.alias("a"), blocks.alias("b")
-    same = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rank") < F.col("b.rank")))
-    counted = same.groupBy(F.col("a.id").alias("src"), F.col("b.id").alias("dst"), F.col("a.form").alias("x"), F.col("b.form").alias("y"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-    shared = counted.agg(F.count_if(F.col("a.key").startswith("g:")).alias("grams"), F.bool_or(F.col("a.key").startswith("w:")).alias("word"))
-    # ratio 0.85 leaves at most 15 % of both forms outside common blocks; each block edge costs GRAM - 1 n-grams
-    return shared.filter(F.col("word") | (F.col("grams") >= F.least("n", "m") * 0.2)).select("src", "dst", "x", "y")
+    rows = checkpointed(names.select("id", "rank", "form", F.split("form", " ").alias("words"), grams.alias("grams")))
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        """(a, b) by id, the earlier name first, that share a key."""
+        a, b = left.alias("a"), right.alias("b")
+        both = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")))
+        first = F.col("a.rank") < F.col("b.rank")
+        return both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("src"), F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("dst"))
+
+    last = rows.select("id", "rank", F.element_at("words", -1).alias("key"))
+    lone = rows.filter(F.size("words") == 1).select("id", "rank", F.col("words")[0].alias("key"))
+    held = rows.select("id", "rank", F.explode(F.array_distinct("words")).alias("key"))
+    spread = rows.select("id", "rank", F.size("grams").alias("n"), F.explode("grams").alias("key"))
+    often = spread.groupBy("key").agg(F.count("*").alias("often"))
+    ranked = spread.join(often, "key").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("often", "key")))
+    rare = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * (SHARED * 0.7)) + 1).select("id", "rank", "key")
+    alike = met(rare, rare).distinct()
+    facts = lambda c, form, own: rows.select(F.col("id").alias(c), F.col("form").alias(form), F.col("grams").alias(own))
+    alike = alike.join(facts("src", "x", "g"), "src").join(facts("dst", "y", "h"), "dst")
+    alike = alike.filter(F.size(F.array_intersect("g", "h")) >= F.least(F.size("g"), F.size("h")) * SHARED).select("src", "dst", "x", "y")
+    worded = met(last, last).union(met(lone, held)).distinct().join(facts("src", "x", "g"), "src").join(facts("dst", "y", "h"), "dst").select("src", "dst", "x", "y")
+    return alike.union(worded).distinct()
 
 
 def name_clusters(names: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -37,23 +53,59 @@ def name_clusters(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     return components(ranked.select("id"), links)
 
 
+_LETTERS = "bcdfghklmnprstvz"
+#: Of author k: a first and a last name of letters that its key's hash gives.
+_NAMES_SQL = f"""a AS (SELECT c_custkey AS k, translate(md5(c_custkey::VARCHAR), '0123456789abcdef', '{_LETTERS}') AS h FROM customer),
+ n AS (SELECT k, upper(h[1]) || h[2:8] AS first, upper(h[9]) || h[10:18] AS last FROM a),
+ v AS (SELECT k, first || ' ' || last AS name, 3 AS works FROM n UNION ALL SELECT k, first[1] || '. ' || last, 1 FROM n WHERE k % 2 = 0 UNION ALL SELECT k, first || 'x ' || last, 2 FROM n WHERE k % 3 = 0 UNION ALL SELECT k, last, 1 FROM n WHERE k % 5 = 0)"""
+
+
 def _names(t) -> DataFrame:
-    """Names with spelling variants: region and nation names, and initials made of them."""
-    base = t.nation.select(F.concat(F.initcap("n_name"), F.lit(" Karl "), F.initcap(F.reverse("n_name"))).alias("name"), F.lit(3).alias("works"))
-    initial = t.nation.filter("n_nationkey % 2 = 0").select(F.concat(F.substring(F.initcap("n_name"), 1, 1), F.lit(". K. "), F.initcap(F.reverse("n_name"))).alias("name"), F.lit(1).alias("works"))
-    typo = t.nation.filter("n_nationkey % 3 = 0").select(F.concat(F.initcap("n_name"), F.lit(" Carl "), F.initcap(F.reverse("n_name"))).alias("name"), F.lit(2).alias("works"))
-    return base.unionByName(initial).unionByName(typo).groupBy("name").agg(F.sum("works").alias("works")).withColumn("id", F.xxhash64("name"))
+    """Authors' names with variants: every author has a name of its own; some are also written with an initial, an error, or the last name alone."""
+    h = F.translate(F.md5(F.col("c_custkey").cast("string")), "0123456789abcdef", _LETTERS)
+    base = t.customer.select(F.col("c_custkey").alias("k"), F.initcap(F.substring(h, 1, 8)).alias("first"), F.initcap(F.substring(h, 9, 10)).alias("last"))
+    made = ((F.concat("first", F.lit(" "), "last"), 3, 1), (F.concat(F.substring("first", 1, 1), F.lit(". "), "last"), 1, 2), (F.concat("first", F.lit("x "), "last"), 2, 3), (F.col("last"), 1, 5))
+    rows = [base.filter(F.col("k") % step == 0).select(name.alias("name"), F.lit(works).alias("works")) for name, works, step in made]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]).groupBy("name").agg(F.sum("works").alias("works")).withColumn("id", F.xxhash64("name"))
 
 
-@query("gr04_name_clusters")
+@query(
+    "gr04_name_clusters",
+    f"WITH {_NAMES_SQL} SELECT count(*) AS n, arg_max(name, (length(name), works, name)) AS canonical, sum(works)::BIGINT AS works, string_agg(name, '|' ORDER BY name) AS names FROM v GROUP BY k HAVING count(*) > 1",
+)
 def clusters(t):
-    """Proposed merges (Q-27): each cluster of two or more names with its canonical name and summed works."""
+    """Proposed merges: each cluster of two or more names with its canonical name and summed works."""
     names = checkpointed(_names(t))
     rows = names.join(name_clusters(names), "id")
     best = F.max_by("name", F.struct(F.length("name"), "works", "name"))
     return rows.groupBy("component").agg(F.count("*").alias("n"), best.alias("canonical"), F.sum("works").alias("works"), F.array_join(F.array_sort(F.collect_list("name")), "|").alias("names")).filter("n > 1").drop("component")
 
 
+@query("jn13_alike_names", f"WITH {_NAMES_SQL} SELECT least(x.name, y.name) AS a, greatest(x.name, y.name) AS b FROM v x JOIN v y ON x.k = y.k AND x.name < y.name WHERE x.name <> y.name")
+def alike(t):
+    """Pairs of names that name one author, without comparing all pairs."""
+    names = checkpointed(_names(t).select("id", "name", match_form(F.col("name")).alias("form"), F.struct((-F.col("works")).alias("w"), "name", "id").alias("rank")))
+    links = candidate_pairs(names.select("id", "rank", "form")).filter(same_author(0.85)("x", "y")).select("src", "dst")
+    side = lambda c, to: names.select(F.col("id").alias(c), F.col("name").alias(to))
+    found = links.join(side("src", "x"), "src").join(side("dst", "y"), "dst")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+@query(
+    "q27_merge_proposal",
+    f"WITH {_NAMES_SQL}, c AS (SELECT k, arg_max(name, (length(name), works, name)) AS canonical, sum(works) AS total FROM v GROUP BY k HAVING count(*) > 1) SELECT name AS variant, canonical, works::BIGINT AS works, total::BIGINT AS total, name = canonical AS keeps, CASE WHEN name = canonical THEN NULL WHEN contains(name, '.') THEN 'initials' WHEN contains(canonical, name) THEN 'short_form' ELSE 'abbreviation' END AS kind FROM v JOIN c USING (k)",
+)
+def proposal(t, manual: dict[str, str] | None = None):
+    """The report on author names: every variant with its canonical name, both numbers of works, and the variant's kind; a manual mapping wins."""
+    names = checkpointed(_names(t))
+    rows = names.join(name_clusters(names), "id")
+    best = F.max_by("name", F.struct(F.length("name"), "works", "name"))
+    groups = rows.groupBy("component").agg(best.alias("canonical"), F.sum("works").alias("total"), F.count("*").alias("n")).filter("n > 1")
+    out = rows.join(groups, "component").withColumn("canonical", F.coalesce(*([F.try_element_at(F.create_map(*(F.lit(x) for pair in manual.items() for x in pair)), "name")] if manual else []), "canonical"))
+    keeps = F.col("name") == F.col("canonical")
+    return out.select(F.col("name").alias("variant"), "canonical", F.col("works").cast("bigint").alias("works"), "total", keeps.alias("keeps"), F.when(~keeps, variant_type(F.col("name"), F.col("canonical"))).alias("kind"))
+
+
 @query("q28_apply_mapping", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_custkey - 1 ELSE c_custkey END AS author_id, count(o_orderkey) AS works FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def apply_mapping(t):
     """Works keep counting for the author they are reassigned to."""
@@ -62,7 +114,7 @@ def apply_mapping(t):
     return t.customer.join(counts, "c_custkey", "left").select("c_custkey", target.alias("author_id"), F.coalesce("works", F.lit(0)).alias("works"))
 
 
-@query("fn24_aliases")
+@query("fn24_aliases", f"WITH {_NAMES_SQL} SELECT name, regexp_replace(name, '^(.*) ([^ ]+)$', '\\2, \\1') AS name_sort, CASE WHEN name[2] = '.' THEN 'initials' WHEN contains(name, ' ') THEN 'short_form' ELSE 'abbreviation' END AS variant FROM v")
 def aliases(t):
     names = _names(t)
     return names.select("name", sort_name(F.col("name")).alias("name_sort"), variant_type(F.regexp_extract("name", r"^([^ ]+)", 1), F.col("name")).alias("variant"))
@@ -70,12 +122,12 @@ def aliases(t):
 
 @query(
     "gr01_link_graph",
-    """WITH RECURSIVE e AS (SELECT event_id AS src, event_id * 3 + k AS dst FROM events, (VALUES (1), (2), (0)) v(k) WHERE event_id * 3 + k < 700 AND event_id < 700),
+    """WITH RECURSIVE e AS (SELECT event_id AS src, event_id * 3 + k AS dst FROM events, (VALUES (1), (2), (0)) v(k)),
     w AS (SELECT 1::BIGINT AS id, 0 AS depth UNION SELECT e.dst, depth + 1 FROM w JOIN e ON e.src = w.id WHERE depth < 6) SELECT id, min(depth)::BIGINT AS depth FROM w GROUP BY 1""",
 )
 def link_graph(t, max_depth: int = 6):
     """Breadth-first levels of a link table from one seed."""
-    links = t.events.filter("event_id < 700").select(F.col("event_id").alias("src"), F.posexplode(F.array(*(F.col("event_id") * 3 + k for k in (0, 1, 2)))).alias("place", "dst")).filter("dst < 700")
+    links = t.events.select(F.col("event_id").alias("src"), F.posexplode(F.array(*(F.col("event_id") * 3 + k for k in (0, 1, 2)))).alias("place", "dst"))
     seeds = t.spark.createDataFrame([(1,)], "id long")
     return breadth_first(seeds, checkpointed(links), max_depth).select("id", F.col("depth").cast("bigint").alias("depth"))
 

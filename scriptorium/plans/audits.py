@@ -94,9 +94,9 @@ def json_distinct(t):
     return t.events.filter(k.isNotNull()).select("event_type", (k.try_cast("bigint") % 3).alias("k")).distinct()
 
 
-@query("q34_evidence_by_score", "SELECT event_id, event_type, value FROM events WHERE user_id < 5 ORDER BY value DESC, event_id LIMIT 40")
+@query("q34_evidence_by_score", "SELECT event_id, event_type, value FROM events ORDER BY value DESC, event_id LIMIT 40")
 def evidence_by_score(t):
-    return t.events.filter("user_id < 5").select("event_id", "event_type", "value").orderBy(F.desc("value"), "event_id").limit(40)
+    return t.events.select("event_id", "event_type", "value").orderBy(F.desc("value"), "event_id").limit(40)
 
 
 @query("q36_model_table", "SELECT event_type AS model, count(*) AS runs, round(avg(value) * 0.7 + max(value) * 0.3, 4) AS weighted FROM events GROUP BY 1 ORDER BY weighted DESC, model")

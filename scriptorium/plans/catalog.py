@@ -97,6 +97,7 @@ def apply_lifespans(authors: DataFrame, candidates: DataFrame, min_score: float
     return authors.join(best, "author_id", "left").select("author_id", fill("birth"), fill("death"))
 
 
+#: Labels of date lines, what ends such a line, and scores and tags by label.
 _LABEL = re.compile(r"\s*(first\s+published|published|publication\s+date|first\s+edition|first\s+printed)\s*:\s*(.*)$", re.I)
 _BARE = frozenset(("first published", "published", "publication date", "first edition", "first printed"))
 _TAIL = re.compile("transcribed|transcription|markup|proofread|last updated|copyleft|cc by|source:", re.I)
@@ -166,13 +167,19 @@ def merged_fields(existing: Column, incoming: Column) -> Column:
     return F.map_zip_with(F.coalesce(existing, F.create_map().cast("map<string,string>")), F.coalesce(incoming, F.create_map().cast("map<string,string>")), lambda k, a, b: F.coalesce(F.nullif(a, F.lit("")), b))
 
 
-@query("dt14_title_variants")
+@query("dt14_title_variants", "SELECT p_partkey, concat_ws('|', 'The ' || p_name || ' [excerpt]', 'The ' || p_name, p_name, p_partkey::VARCHAR) AS variants FROM part")
 def variants(t):
     title = F.concat(F.lit("The "), "p_name", F.lit(" [excerpt]"))
     return t.part.select("p_partkey", F.array_join(title_variants(title, F.concat(F.lit("https://e.org/w/"), F.col("p_partkey").cast("string"), F.lit("/index.htm"))), "|").alias("variants"))
 
 
-@query("dt15_catalog_scores")
+@query(
+    "dt15_catalog_scores",
+    """SELECT work_id, source, year, CASE source WHEN 'wikidata' THEN least(0.98, 0.55 + 0.35 * sim + 0.15 * a) ELSE least(0.95, 0.45 + 0.4 * sim + 0.15 * a) END::DOUBLE AS score FROM (
+    SELECT p_partkey AS work_id, CASE WHEN p_partkey % 2 = 0 THEN 'wikidata' ELSE 'openlibrary' END AS source, (p_size + 1850)::INTEGER AS year, 0.6 + (p_partkey % 5) / 10.0 AS a, p_partkey % 4 <> 0 AS is_text,
+    CASE WHEN p_partkey % 3 = 0 THEN 1.0 ELSE 0.55 * (2.0 * length(p_name) / (2 * length(p_name) + 11)) + 0.45 * (w / (w + 2.0)) END AS sim FROM (SELECT *, len(list_distinct(string_split(p_name, ' '))) AS w FROM part)
+    ) WHERE CASE source WHEN 'wikidata' THEN a >= 0.72 AND is_text ELSE a >= 0.70 END""",
+)
 def scores(t):
     label = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" volume two")))
     kinds = F.when(F.col("p_partkey") % 4 == 0, F.array(F.lit("philosophical concept"))).otherwise(F.array(F.lit("literary work")))

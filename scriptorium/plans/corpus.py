@@ -66,14 +66,25 @@ def violations(stored: DataFrame, arriving: DataFrame) -> DataFrame:
     return stored.join(arriving, "doc_id").filter(F.col("hash") != F.col("new_hash")).select("doc_id")
 
 
-@query("q30_integrity_gates", f"WITH {_SENTENCES} SELECT 'empty_paragraph' AS gate, 0::BIGINT AS violations UNION ALL SELECT 'duplicate_span', 0 UNION ALL SELECT 'orphan_sentence', 0")
-def integrity(t):
-    """Evidence invariants as violation counts; all are 0 on a sound build."""
-    spans, paras = sentence_spans(t.documents), paragraphs(t.documents)
+def integrity_gates(paras: DataFrame, spans: DataFrame) -> DataFrame:
+    """(gate, violations) of a stored build: paragraphs without text, repeated span ids, sentences without a paragraph."""
     gate = lambda name, df: df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("gate"), "violations")
     twice = spans.groupBy("span_id").agg(F.count("*").alias("n")).filter("n > 1")
     orphan = spans.select("doc_id", "para_index").distinct().join(paras, ["doc_id", "para_index"], "left_anti")
-    return gate("empty_paragraph", paras.filter("text = ''")).unionAll(gate("duplicate_span", twice)).unionAll(gate("orphan_sentence", orphan))
+    return gate("empty_paragraph", paras.filter(F.trim(F.coalesce("text", F.lit(""))) == "")).unionAll(gate("duplicate_span", twice)).unionAll(gate("orphan_sentence", orphan))
+
+
+@query(
+    "q30_integrity_gates",
+    f"""WITH {_SENTENCES} SELECT 'empty_paragraph' AS gate, count(*) AS violations FROM p WHERE doc_id % 7 = 0 AND para_index = 0 AND doc_id % 5 <> 0
+    UNION ALL SELECT 'duplicate_span', count(*) FROM s WHERE doc_id % 11 = 0 AND sent_index = 0 UNION ALL SELECT 'orphan_sentence', count(DISTINCT (doc_id, para_index)) FROM s WHERE doc_id % 5 = 0 AND para_index = 0""",
+)
+def integrity(t):
+    """The gates over a build that was stored with faults: texts lost, spans written twice, paragraphs left out."""
+    first = F.col("para_index") == 0
+    paras = paragraphs(t.documents).filter(~(first & (F.col("doc_id") % 5 == 0))).withColumn("text", F.when(first & (F.col("doc_id") % 7 == 0), " ").otherwise(F.col("text")))
+    spans = sentence_spans(t.documents)
+    return integrity_gates(paras, spans.unionAll(spans.filter((F.col("doc_id") % 11 == 0) & (F.col("sent_index") == 0))))
 
 
 @query("q31_coverage", f"WITH {_SENTENCES} SELECT source, count(*) AS sentences, count(quality) AS labelled, round(count(quality) * 100.0 / count(*), 3)::DOUBLE AS pct FROM s LEFT JOIN labels USING (doc_id) GROUP BY 1")

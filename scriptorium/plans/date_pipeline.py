@@ -13,7 +13,7 @@ EDITION = ("collected works", "selected works", "progress publishers", "foreign
 PERIODICAL = ("no.", "number", "issue", "pravda", "iskra", "new international", "workers' weekly", "monthly review", "socialist appeal", "new york")
 UPLOAD = ("internet archive", "transcription", "markup", "mark-up", "proofread", "public domain", "copyleft", "copyright")
 ROLES = ("first_publication_date", "written_date", "edition_publication_date", "ingest_upload_year", "heuristic_publication_year")
-#: Confidences of candidates by origin.
+#: Confidences of candidates by origin.
 URL_CONFIDENCE, TITLE_CONFIDENCE, PERIODICAL_CONFIDENCE, UNKNOWN_CONFIDENCE = 0.98, 0.45, 0.90, 0.75
 FIELDS = {"written": ("written_date", 0.85, None), "first_published": ("first_publication_date", 0.95, 0.60), "published": ("first_publication_date", 0.90, 0.55), "date": ("first_publication_date", 0.92, None), "delivered": ("first_publication_date", 0.90, None)}
 

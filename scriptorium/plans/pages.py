@@ -55,7 +55,7 @@ def samples(t):
     return _mapped(t.pages, "page_id long, url string, title string, h1 string, content_sample string", lambda h, u: html_blocks.sample(h), names)
 
 
-@query("tf13_header_fields")
+@query("tf13_header_fields", "SELECT page_id, 'Written' AS label, 'May 1, 1919' AS value FROM pages UNION ALL SELECT page_id, 'Source', url FROM pages")
 def header_fields(t):
     """Header labels of pages, with a header paragraph made of each page's own URL, as pages here carry none."""
     lead = F.concat(F.lit('<body><p class="information"><span class="info">Written:</span> '), F.lit("May 1, 1919<br><span class=\"info\">Source:</span> "), F.col("url"), F.lit("</p>"))
@@ -83,6 +83,13 @@ def year_votes(t):
     return best.select("source", F.col("b.y").cast("int").alias("year"), n.alias("n"), F.least(F.lit(0.9), F.lit(0.4) + n * F.lit(0.1)).alias("confidence"))
 
 
+@query("src01_snapshots", "SELECT sha256(html) AS sha, min(page_id) AS page_id, min(octet_length(encode(html)))::BIGINT AS bytes FROM pages WHERE octet_length(encode(html)) <= 4000 GROUP BY 1")
+def bounded_snapshots(t, max_bytes: int = 4000):
+    """Snapshots of fetched pages, written once by content hash, with the fetcher's bound on size as a parameter."""
+    rows = t.pages.withColumn("bytes", F.octet_length("html")).filter(F.col("bytes") <= max_bytes)
+    return rows.groupBy(F.sha2("html", 256).alias("sha")).agg(F.min("page_id").alias("page_id"), F.min("bytes").cast("bigint").alias("bytes"))
+
+
 @query("src05_content_addressed", "SELECT sha256(html) AS sha, min(page_id) AS page_id, count(*) AS copies, min(octet_length(encode(html)))::BIGINT AS bytes FROM pages GROUP BY 1")
 def snapshots(t):
     """Write-once snapshots: one row per content hash (SRC-01)."""

@@ -64,9 +64,9 @@ def work(t, work_id: int = 7):
     return t.orders.filter(F.col("o_orderkey") == work_id).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name").crossJoin(facts)  # one row each
 
 
-@query("q06_paragraphs", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, min(l_shipdate::VARCHAR) AS text, count(DISTINCT l_partkey) AS concepts FROM lineitem WHERE l_orderkey < 200 GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100 OFFSET 20")
+@query("q06_paragraphs", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, min(l_shipdate::VARCHAR) AS text, count(DISTINCT l_partkey) AS concepts FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100 OFFSET 20")
 def paragraphs(t):
-    rows = t.lineitem.filter("l_orderkey < 200").groupBy("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"))
+    rows = t.lineitem.groupBy("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"))
     return rows.agg(F.min(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("text"), F.countDistinct("l_partkey").alias("concepts")).orderBy("l_orderkey", "l_linenumber").offset(20).limit(100)
 
 

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 def load() -> None:
     """Import every module that registers queries."""
     from .operators import aggregates, filters, identity_resolution, joins, sets, sorts, windows  # noqa: F401
-    from .plans import audits, catalog, corpus, crawl, date_pipeline, extraction, pages, reads  # noqa: F401
+    from .plans import audits, catalog, corpus, crawl, date_pipeline, extraction, jobs, page_rules, pages, reads  # noqa: F401
     from .functions import queries  # noqa: F401
     from .sources import queries as source_queries  # noqa: F401
     from .streaming import queries as stream_queries  # noqa: F401

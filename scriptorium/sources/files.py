@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 MANIFEST = "root_url string, snapshots array<struct<url:string,sha256:string,raw_path:string,content_type:string>>"
 
 
-def raw_objects(spark: SparkSession, path: str, max_bytes: int = 20_000_000) -> DataFrame:
-    """(sha256, html, path): pages below a folder, content-addressed; larger ones than max_bytes are left out."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").load(path).filter(F.col("length") <= max_bytes)
+def raw_objects(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+    """(sha256, html, path): pages below a folder, content-addressed; a caller may leave out larger ones than max_bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").load(path)
+    files = files if max_bytes is None else files.filter(F.col("length") <= max_bytes)
     return files.select(F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("html"), "path").dropDuplicates(["sha256"])
 
 
-def manifest_pages(spark: SparkSession, path: str, max_pages: int = 1000) -> DataFrame:
-    """(root_url, place, url, sha256, raw_path): a manifest's first pages, in order; damaged manifests give none."""
+def manifest_pages(spark: SparkSession, path: str, max_pages: int | None = None) -> DataFrame:
+    """(root_url, place, url, sha256, raw_path): a manifest's pages, or its first max_pages, in order; damaged manifests give none."""
     rows = spark.read.text(path, wholetext=True).select(F.from_json("value", MANIFEST).alias("m"))
-    pages = rows.select("m.root_url", F.posexplode(F.slice("m.snapshots", 1, max_pages)).alias("place", "s"))
+    pages = rows.select("m.root_url", F.posexplode(F.col("m.snapshots") if max_pages is None else F.slice("m.snapshots", 1, max_pages)).alias("place", "s"))
     return pages.select("root_url", "place", "s.url", "s.sha256", "s.raw_path")
 
 

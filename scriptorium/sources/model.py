@@ -44,6 +44,23 @@ def completions(prompts: DataFrame, make_client: Callable[[], Callable[[str], st
     return prompts.select(F.col("key").cast("long").alias("key"), F.col("prompt").cast("string").alias("prompt")).mapInArrow(run, SCHEMA)
 
 
+class RecordedClient:
+    """A client that answers by what a prompt asks for, as recorded: at once, after a repair note, never, or not at all."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, int] = {}
+
+    def __call__(self, prompt: str) -> str:
+        task = prompt.split("\n")[0]
+        self.seen[task] = self.seen.get(task, 0) + 1
+        kind, _, number = task.partition(" ")
+        if kind == "busy" and self.seen[task] < 3 or kind == "down":
+            raise ConnectionError("try later")
+        if kind == "prose" or kind == "repair" and not prompt.endswith(REPAIR):
+            return "I would rather explain"
+        return f'Here: {{"n": {number}, "kind": "{kind}"}}'
+
+
 def pending(prompts: DataFrame, done: DataFrame, version: str, tasks: tuple[str, ...]) -> DataFrame:
     """Prompts whose key has not succeeded in every task at this version: done(key, task, version, status) (ST-01)."""
     ok = done.filter((F.col("version") == version) & (F.col("status") == "success") & F.col("task").isin(*tasks))

@@ -15,3 +15,18 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, tasks: int = 8, **options: str) -> DataFrame:
+    """A relational table, read by ranges of a whole-number key where one is given; filters and columns are pushed down."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if key and bounds:
+        reader = reader.options(partitionColumn=key, lowerBound=str(bounds[0]), upperBound=str(bounds[1]), numPartitions=str(tasks))
+    return reader.load()
+
+
+def views(tables: Tables, *names: str) -> SparkSession:
+    """Temporary views of tables, so that SQL can name them."""
+    for name in names:
+        getattr(tables, name).createOrReplaceTempView(name)
+    return tables.spark

@@ -30,22 +30,29 @@ def run_available(stream: DataFrame, sink, folder: str, mode: str = "append") ->
     running.awaitTermination()
 
 
-def keyed_append(path: str, key: list[str]):
-    """A sink that adds only keys it has not got: a rerun, or a batch done twice, adds nothing."""
+def keyed_append(path: str, key: list[str], run: str = "run"):
+    """A sink that adds only keys it has not got: a rerun, or a batch done twice, adds nothing.
+
+    Each batch owns a folder named after its run and number and overwrites it, so a crash between write and commit
+    leaves nothing behind; of what is there, only the keys of other batches are read.
+    """
 
     def sink(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, name = batch.sparkSession, f"{run}-{number}"
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
         new = batch.dropDuplicates(key)
-        if exists:
-            new = new.join(spark.read.parquet(path), key, "left_anti")
-        new.write.mode("append").parquet(path)
+        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            stored = spark.read.option("basePath", path).parquet(path).filter(F.col("batch") != name).select(*key)
+            new = new.join(stored, key, "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch={name}")
 
     return sink
 
 
 def read_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of parquet as a stream."""
+    """A table of parquet, one file or a folder of files, as a stream."""
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)

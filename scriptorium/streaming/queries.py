@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import query
+from ..sources.sinks import fresh
 from .incremental import keyed_append, read_stream, run_available, shared, status_counts
 
 
@@ -14,8 +15,8 @@ def idempotent(t):
     folder = shared(t.spark)
     for again in ("first", "second"):
         rows = read_stream(t.spark, t.sf_dir, "events").filter("event_type <> 'error'").select("event_id", "event_type", "value")
-        run_available(rows, keyed_append(f"{folder}/rows", ["event_id"]), f"{folder}/{again}")
-    return t.spark.read.parquet(f"{folder}/rows")
+        run_available(rows, keyed_append(f"{folder}/rows", ["event_id"], again), f"{folder}/{again}")
+    return t.spark.read.parquet(f"{folder}/rows").drop("batch")
 
 
 @query("st05_status_dashboard", "SELECT event_type, count(*) AS n, max(event_id % 7) AS depth FROM events GROUP BY 1")
@@ -46,3 +47,25 @@ def quarantine(t):
 def work_queue(t):
     status = F.when(F.col("quality") == 1, "ingested").when(F.col("quality") == 0, "failed").otherwise("pending")
     return t.documents.join(t.labels, "doc_id", "left").select("doc_id", status.alias("status"))
+
+
+@query("st02_commits", "SELECT event_id % 5 AS part, count(*) AS n, 5::BIGINT AS commits FROM events GROUP BY 1")
+def commits(t):
+    """A run over five files commits after each: its log holds a row a commit, and each batch one file's rows."""
+    folder = shared(t.spark)
+    t.events.withColumn("part", F.col("event_id") % 5).repartition(5, "part").write.partitionBy("part").parquet(f"{folder}/in")
+    schema = t.spark.read.parquet(f"{folder}/in").schema
+    rows = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    run_available(rows, lambda b, i: b.groupBy("part").agg(F.count("*").alias("n")).withColumn("number", F.lit(i)).write.mode("overwrite").parquet(f"{folder}/log/batch={i}"), folder)
+    log = t.spark.read.parquet(f"{folder}/log")
+    total = log.agg(F.countDistinct("batch").alias("commits"))  # one row
+    return log.groupBy(F.col("part").cast("bigint").alias("part")).agg(F.sum("n").alias("n")).crossJoin(F.broadcast(total))
+
+
+@query("st06_time_to_live", "SELECT event_id, ts >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS fresh FROM events")
+def time_to_live(t):
+    """Cached rows that are still fresh an hour after they were fetched."""
+    now = t.events.agg(F.max("ts").cast("timestamp").alias("now"))  # one row
+    cache = t.events.select("event_id", F.col("ts").cast("timestamp").alias("fetched_at")).crossJoin(F.broadcast(now))
+    young = fresh(cache, F.col("now"), 3600).select("event_id", F.lit(True).alias("fresh"))
+    return t.events.select("event_id").join(young, "event_id", "left").select("event_id", F.coalesce("fresh", F.lit(False)).alias("fresh"))
