@@ -31,7 +31,7 @@ PER_EDIT, MOST = 10, 2
 #: Characters whose keys are made at once, and characters of the corpus for each bucket of keys.
 KEY_CHARS, BUCKET_CHARS = 2_000_000, 8_000_000
 #: Lines of different classes that a key may hold before it is split.
-HOT = 64
+HOT = 1024
 #: A rest of so many code points for each of t + 1 segments is not cut again.
 SHORT_REST = 4
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +88,7 @@ def neighbours(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     for i, own in lines.items():
         lo, hi = ends[i - 1] + 1 if i else 0, ends[i]
         entities = {_hash(f"{kind}:{text[s:e]}") for kind, s, e in own}
-        terms = {_hash(m.group().lower()) for a, b in outside(text, own, lo, hi) if (m := _TERM.search(text, a, b))}
+        terms = {_hash(term) for a, b in outside(text, own, lo, hi) if (term := term_of(text[a:b].lower()))}
         out.append({"context": _hash(text[lo:hi]), "entities": sorted(entities), "terms": sorted(terms)})
     return out
 
@@ -127,63 +126,62 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(base, pa.string()), pa.array(counts, pa.list_(pa.int64())), pa.array(near, _NEAR)], ["doc_id", "version", "base", "counts", "near"])
 
 
-class _Terms(dict):
-    """Lower-case word -> hash of its term, 0 without one; emptied when large."""
+def term_of(word: str) -> str | None:
+    """The term of a lower-case word: its first run of word characters, apostrophes and hyphens."""
+    if word.isalnum():
+        return word
+    m = _TERM.search(word)
+    return m.group() if m else None
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        m = _TERM.search(word)
-        self[word] = out = _hash(m.group()) if m else 0
-        return out
 
+class Wanted:
+    """Words whose term a bitmap lets pass; words that don't are remembered up to a bound, so that most texts cost set operations only."""
 
-def _distinct_lines(batch) -> set[str]:
-    return {line for text in batch.column(0).to_pylist() if text for line in text.split("\n")}
+    LIMIT = 600_000
 
+    def __init__(self, bitmap: np.ndarray):
+        self.bitmap, self.cold = bitmap, set()
+        self.hot: dict[str, int] = {}
 
-def _contexts(shared):
-    """(term, n, line): of each term that a broadcast bitmap lets pass, its different lines in a batch; with term 0, each line's hash."""
+    def learn(self, words: list[set[str]]) -> None:
+        """Sort the words of a batch into cold and hot ones."""
+        if len(self.cold) + len(self.hot) > self.LIMIT:
+            self.cold, self.hot = set(), {}
+        new = [w for w in set().union(*(own - self.cold for own in words)) if w not in self.hot]
+        terms = [(w, _hash(t)) for w in new if (t := term_of(w.lower()))]
+        if terms:
+            keep = np.flatnonzero(maybe_members(self.bitmap, np.array([h for _, h in terms], np.int64)))
+            self.hot.update(terms[i] for i in keep.tolist())
+        self.cold.update(w for w in new if w not in self.hot)
 
-    def run(batches):
-        terms = _Terms()
-        for batch in batches:
-            lines = _distinct_lines(batch)
-            words: Counter = Counter()
-            for line in lines:
-                words.update(set(line.lower().split()))
-            own, n = np.array([terms[w] for w in words], np.int64), np.fromiter(words.values(), np.int64, len(words))
-            keep = (own != 0) & maybe_members(shared.value, own) if len(own) else np.zeros(0, bool)
-            found, at = np.unique(own[keep], return_inverse=True)
-            # words of one term may share lines; the least that is sure is their largest count
-            least = np.zeros(len(found), np.int64)
-            np.maximum.at(least, at, n[keep])
-            hashes = np.fromiter(map(_hash, lines), np.int64, len(lines))
-            zeros = np.zeros(len(lines), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([zeros, found])), pa.array(np.concatenate([zeros, least])), pa.array(np.concatenate([hashes, np.zeros(len(found), np.int64)]))], ["term", "n", "line"])
+    def of(self, words: set[str]) -> set[str]:
+        return {w for w in words - self.cold if w in self.hot}
 
-    return run
 
+def _term_lines(shared, most: int):
+    """(term, line): hashes of wanted terms and of the different lines that hold them; with term 0, the hash of every line.
 
-def _term_lines(shared):
-    """(term, line): hashes of the terms that a broadcast bitmap lets pass, and of the different lines that hold them."""
+    Of a term with more than most lines in a batch, so many that it discloses nothing, one more than most are enough.
+    """
 
     def run(batches):
-        terms, passes = _Terms(), {}
+        wanted = Wanted(shared.value)
         for batch in batches:
-            out = set()
-            for line in _distinct_lines(batch):
-                held = {terms[w] for w in line.lower().split()}
-                new = [t for t in held if t not in passes]
-                if new:
-                    if len(passes) > 300_000:
-                        passes.clear()
-                        new = list(held)
-                    passes.update(zip(new, maybe_members(shared.value, np.array(new, np.int64)).tolist(), strict=True))
-                if hit := [t for t in held if t and passes[t]]:
-                    h = _hash(line)
-                    out.update((t, h) for t in hit)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(2)], ["term", "line"])
+            texts = [t for t in batch.column(0).to_pylist() if t]
+            lines = {line for t in texts for line in t.split("\n")}
+            words = [set(t.lower().split()) for t in texts]
+            wanted.learn(words)
+            found: dict[int, set[int]] = {}
+            for text, own in zip(texts, words, strict=True):
+                if hit := wanted.of(own):
+                    for line in text.split("\n"):
+                        for w in hit.intersection(line.lower().split()):
+                            places = found.setdefault(wanted.hot[w], set())
+                            if len(places) <= most:
+                                places.add(_hash(line))
+            hashes = np.fromiter(map(_hash, lines), np.int64, len(lines))
+            terms, held = [t for t, own in found.items() for _ in own], [h for own in found.values() for h in own]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(len(hashes), np.int64), np.array(terms, np.int64)])), pa.array(np.concatenate([hashes, np.array(held, np.int64)]))], ["term", "line"])
 
     return run
 
@@ -192,24 +190,17 @@ def _marked(shared):
     """Places of the terms that a broadcast bitmap lets pass, outside identifiers."""
 
     def run(batches):
-        memory: dict[str, int | None] = {}
+        wanted = Wanted(shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            words = [set(_WORD.findall(t)) if t else set() for t in texts]
-            if len(memory) >= 300_000:
-                memory.clear()
-            new = [w for w in set().union(*words) if w not in memory]
-            terms = [(w, _hash(m.group().lower())) for w in new if (m := _TERM.search(w))]
-            memory.update(dict.fromkeys(new))
-            if terms:
-                keep = maybe_members(shared.value, np.array([t for _, t in terms], np.int64))
-                memory.update(terms[i] for i in np.flatnonzero(keep))
+            words = [set(t.split()) if t else set() for t in texts]
+            wanted.learn(words)
             out = []
             for doc_id, text, version, own in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), words, strict=True):
-                if any(memory[w] is not None for w in own):
+                if hit := wanted.of(own):
                     for a, b in outside(text, identifiers(text), 0, len(text)):
-                        if (term := memory[text[a:b]]) is not None:
-                            out.append((doc_id, version, term, *_TERM.search(text, a, b).span()))
+                        if (word := text[a:b]) in hit:
+                            out.append((doc_id, version, wanted.hot[word], *_TERM.search(text, a, b).span()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "version", "term", "start", "stop"])
 
     return run
@@ -226,17 +217,19 @@ def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
         counts = rows.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
         return rows.join(counts.select("value"), "value", "left_semi"), counts
 
-    (with_entity, entities), (with_term, _) = often("entities"), often("terms")
+    (with_entity, entities), (with_term, terms) = often("entities"), often("terms")
     both = with_entity.withColumnRenamed("value", "entity").join(with_term.withColumnRenamed("value", "term"), "context")
     pairs = both.groupBy("entity", "term").agg(F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
-    pairs = cut(pairs.join(entities.select(F.col("value").alias("entity"), F.col("n").alias("contexts")), "entity"), "pairs")
-    spread = cut(texts.select("text").mapInArrow(_contexts(context.broadcast(membership(pairs, "term"))), "term long, n long, line long"), "contexts")
+    pairs = pairs.join(entities.select(F.col("value").alias("entity"), F.col("n").alias("contexts")), "entity")
+    # a share of GENERALISE needs n(t) <= n(e, t) * (N / n(e)) ** (1 - GENERALISE); copies make N no smaller, contexts with identifiers n(t) no larger
+    copies = texts.agg(F.coalesce(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1), F.lit(1))).first()[0]
+    most = F.col("support") * F.pow(F.lit(float(copies)) / F.col("contexts"), F.lit(1 - GENERALISE)) + 1
+    pairs = cut(pairs.join(terms.select(F.col("value").alias("term"), F.col("n").alias("least")), "term").filter(F.col("least") <= most).withColumn("most", most), "pairs")
+    bound = pairs.agg(F.coalesce(F.max("most"), F.lit(0.0))).first()[0]
+    wanted = context.broadcast(membership(pairs, "term"))
+    spread = cut(texts.select("text").mapInArrow(_term_lines(wanted, int(bound)), "term long, line long"), "lines")
     total = spread.filter("term = 0").select("line").distinct().count()
-    # a share of GENERALISE needs n(t) <= n(e, t) * (N / n(e)) ** (1 - GENERALISE); a batch's different lines are no more than all
-    most = F.col("support") * F.pow(F.lit(float(max(total, 1))) / F.col("contexts"), F.lit(1 - GENERALISE)) + 1
-    least = spread.filter("term <> 0").groupBy("term").agg(F.max("n").alias("least"))
-    pairs = cut(pairs.join(least, "term").filter(F.col("least") <= most).drop("least"), "rare")
-    counts = texts.select("text").mapInArrow(_term_lines(context.broadcast(membership(pairs, "term"))), "term long, line long").distinct().groupBy("term").agg(F.count("*").alias("n"))
+    counts = spread.filter("term <> 0").distinct().groupBy("term").agg(F.count("*").alias("n"))
     scored = pairs.join(counts, "term")
     pmi = F.log2(F.col("support") * F.lit(float(total)) / (F.col("contexts") * F.col("n")))
     whole = F.log2(F.lit(float(total)) / F.col("contexts"))

@@ -87,7 +87,7 @@ def got(df):
     return sorted((repr(r.doc_id), r.n_lines, list(r.removed)) for r in df.collect())
 
 
-@pytest.mark.parametrize("hot", [64, 2])
+@pytest.mark.parametrize("hot", [1024, 2])
 def test_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(line_dedup, "HOT", hot)
     rng = random.Random(4)
