@@ -9,26 +9,42 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """checkpoint() in the folder of spark.checkpoint.dir; one of our own only where that is unset."""
+    """checkpoint() in the folder of spark.checkpoint.dir; where that is unset, one of our own, which must be local mode's."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scriptorium-"))
     return df.checkpoint()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """nodes(id), edges(src, dst) -> (id, component): the smallest id reachable, by minimum labels with shortcutting."""
-    both = checkpointed(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
-    labels = checkpointed(nodes.select("id", F.col("id").alias("component")))
-    while True:
-        offered = both.join(labels, both.src == labels.id).groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("offer"))
-        closer = labels.join(offered, "id", "left").select("id", "component", F.least("component", "offer").alias("next"))
-        root = closer.select(F.col("id").alias("next"), F.col("next").alias("jump"))
-        step = checkpointed(closer.join(root, "next", "left").select("id", F.least("next", "jump").alias("next"), "component"))
-        changed = step.filter(F.col("next") != F.col("component")).limit(1).count()
-        labels = step.select("id", F.col("next").alias("component"))
-        if not changed:
-            return labels
+    """nodes(id), edges(src, dst) -> (id, component): the smallest id reachable.
+
+    Stars are contracted in turn (large-star and small-star steps): every step is one grouped minimum, combined before
+    the shuffle, and one equi-join, and the number of steps grows with the logarithm of the longest path.
+    """
+
+    def oriented(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
+
+    def fingerprint(pairs: DataFrame) -> tuple:
+        return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    stars = checkpointed(oriented(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
+    seen = fingerprint(stars)
+    while seen[0]:
+        both = stars.select("u", "v").union(stars.select("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = checkpointed(oriented(both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
+        stars = checkpointed(oriented(small))
+        now = fingerprint(stars)
+        if now == seen:
+            break
+        seen = now
+    return nodes.join(stars.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def breadth_first(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
