@@ -68,7 +68,10 @@ def match_form(t):
     return t.customer.select("c_custkey", names.match_form(F.concat("c_name", F.lit(" Jr."))).alias("form"))
 
 
-@query("fn12_similarity")
+@query(
+    "fn12_similarity",
+    "SELECT a.n_name AS a, b.n_name AS b, 2.0 * (7 + CASE WHEN regexp_matches(substr(b.n_name, 8), '[' || substr(a.n_name, 8) || ']') THEN 1 ELSE 0 END) / (length(a.n_name) + length(b.n_name)) AS ratio FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey",
+)
 def similarity(t):
     pairs = t.nation.alias("a").join(t.nation.alias("b"), (F.col("a.n_regionkey") == F.col("b.n_regionkey")) & (F.col("a.n_nationkey") < F.col("b.n_nationkey")))
     return pairs.select(F.col("a.n_name").alias("a"), F.col("b.n_name").alias("b")).select("a", "b", names.similarity("a", "b").alias("ratio"))

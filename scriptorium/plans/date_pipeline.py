@@ -137,7 +137,17 @@ def _evidence(t) -> DataFrame:
     return _years(t).select("work_id", source.alias("source"), F.when(k == 5, "n.d.").otherwise(F.col("y").cast("string")).alias("year"), (F.lit(0.4) + (F.col("work_id") % 7) / F.lit(10.0)).alias("score"), excerpt.alias("excerpt"), F.lit(None).cast("string").alias("locator"), "birth", "death")
 
 
-@query("dt04_header_candidates")
+@query(
+    "dt04_header_candidates",
+    """WITH o AS (SELECT o_orderkey AS work_id, o_orderkey % 4 AS k, year(o_orderdate)::INTEGER AS y FROM orders),
+    c AS (SELECT work_id, 'first_publication_date' AS role, y AS year, NULL::INTEGER AS month, NULL::INTEGER AS day, 'year' AS precision, 0.98 AS confidence, 'url_path' AS source FROM o
+    UNION ALL SELECT work_id, 'written_date', y, 5, 1, 'day', 0.85, 'source_metadata' FROM o
+    UNION ALL SELECT work_id, 'first_publication_date', y, NULL, NULL, 'year', 0.95, 'source_metadata' FROM o WHERE k = 3
+    UNION ALL SELECT work_id, CASE k WHEN 1 THEN 'edition_publication_date' ELSE 'first_publication_date' END, y, NULL, NULL, 'year', CASE k WHEN 1 THEN 0.55 ELSE 0.90 END, 'source_metadata' FROM o
+    UNION ALL SELECT work_id, 'first_publication_date', y, 3, 4, 'day', 0.90, 'source_metadata' FROM o WHERE k = 0
+    UNION ALL SELECT work_id, 'first_publication_date', y, NULL, NULL, 'year', 0.75, 'source_metadata' FROM o WHERE k = 2)
+    SELECT work_id, role, year, month, day, precision, confidence::DOUBLE AS confidence, source, NULL::VARCHAR AS notes FROM c""",
+)
 def header_rows(t):
     y = F.year("o_orderdate").cast("string")
     k = F.col("o_orderkey") % 4

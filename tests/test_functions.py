@@ -196,3 +196,81 @@ def test_completions(spark):
     assert got == {1: (good, 1, None), 2: (good, 2, None), 3: (None, 3, "OSError: offline"), 4: (good, 2, None), 5: (good, 2, None)}
     done = spark.createDataFrame([(1, "a", "v1", "success"), (1, "b", "v1", "success"), (2, "a", "v1", "success"), (3, "a", "v0", "success"), (3, "b", "v1", "failed")], "key long, task string, version string, status string")
     assert sorted(r.key for r in pending(prompts, done, "v1", ("a", "b")).collect()) == [2, 3, 4, 5]
+
+
+def test_contracts():
+    from scriptorium.functions import contracts
+
+    good = {"claims": [{"claim_text": "x", "evidence": [0, 2.0], "polarity": None, "confidence": 1}]}
+    assert contracts.violations(good, contracts.CLAIMS) == [] and contracts.violations({"claims": []}, contracts.CLAIMS) == []
+    bad = {"claims": [{"claim_text": "", "evidence": [True, -1], "polarity": "maybe", "confidence": "1"}, 3]}
+    assert contracts.violations(bad, contracts.CLAIMS) == [
+        "$.claims[0].claim_text: too short", "$.claims[0].polarity: not allowed", "$.claims[0].confidence: not number or null", "$.claims[0].evidence[0]: not integer", "$.claims[0].evidence[1]: below 0", "$.claims[1]: not object",
+    ]
+    closed = {"type": "object", "properties": {"a": {"type": ["string", "integer"]}, "b": {"type": "array", "items": {"type": "boolean"}}}, "additionalProperties": False}
+    assert contracts.violations({"a": 1.5, "c": 0}, closed) == ["$.c: unknown", "$.a: not string or integer"]
+    assert contracts.ddl(closed) == "struct<`a`:string,`b`:array<boolean>>" and contracts.columns(closed) == [("a", "string", False), ("b[]", "boolean", False)]
+
+
+def test_integrity_gates_of_a_broken_build(spark):
+    from scriptorium.plans.corpus import integrity_gates, paragraphs, sentence_spans
+
+    docs = spark.createDataFrame([(1, "One. Two.\n\nThree.", "s", "en"), (2, "Four.", "s", "en")], "doc_id long, text string, source string, lang string")
+    paras, spans = paragraphs(docs), sentence_spans(docs)
+    gates = lambda p, s: {r.gate: r.violations for r in integrity_gates(p, s).collect()}
+    assert set(gates(paras, spans).values()) == {0}
+    lost = paras.withColumn("text", F.when(F.col("doc_id") == 2, F.lit(" ")).otherwise(F.col("text")))
+    assert gates(lost, spans)["empty_paragraph"] == 1 and gates(paras.withColumn("text", F.lit(None).cast("string")), spans)["empty_paragraph"] == 3
+    assert gates(paras, spans.unionAll(spans.filter("sent_index = 1")))["duplicate_span"] == 1
+    assert gates(paras.filter("doc_id = 1"), spans)["orphan_sentence"] == 1
+
+
+def test_a_batch_done_twice_adds_nothing(spark, tmp_path):
+    from scriptorium.streaming.incremental import keyed_append
+
+    path, rows = str(tmp_path / "rows"), lambda *keys: spark.createDataFrame([(k, "v") for k in keys], "k int, v string")
+    sink = keyed_append(path, ["k"], "a")
+    sink(rows(1, 2, 2), 0)
+    sink(rows(2, 3), 1)
+    sink(rows(2, 3), 1)  # as after a crash between write and commit
+    keyed_append(path, ["k"], "b")(rows(1, 3, 4), 0)
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+
+
+def test_names_do_not_all_meet_by_a_common_word(spark):
+    import hashlib
+
+    from scriptorium.operators.identity_resolution import candidate_pairs
+
+    h = lambda i: hashlib.md5(str(i).encode()).hexdigest().translate(str.maketrans("0123456789abcdef", "bcdfghklmnprstvz"))
+    rows = [(i, i, f"{h(i)[:8]} karl {h(i)[8:18]}") for i in range(300)]
+    pairs = candidate_pairs(spark.createDataFrame(rows, "id long, rank long, form string"))
+    assert pairs.count() < 300 * 299 // 2 // 4
+
+
+def test_dates_in_titles_and_bodies(spark):
+    from scriptorium.plans.page_rules import body_dates, title_dates
+
+    pages = spark.createDataFrame([(1, "u", "<title>In 1848</title><body><h1>None</h1><h2>Of 4 May 1917</h2></body>"), (2, "u", "<title>In 1848</title><body><h1>None</h1></body>"), (3, "u", None)], "page_id long, url string, html string")
+    assert sorted((r.page_id, r.title, r.date.year, r.date.day) for r in title_dates(pages).collect()) == [(1, "Of 4 May 1917", 1917, 4), (2, "In 1848", 1848, None)]
+    texts = ["It was first published in March 4, 1899, and written on May 2 1898. Published in 1901", "First published on Brumaire 1, 1799; published in 9999 and published in 1888 and published in 1777", "published 1900"]
+    rows = spark.createDataFrame([(i, [t]) for i, t in enumerate(texts)], "i int, p array<string>")
+    found = [[(d.year, d.precision) for d in r.d] for r in rows.orderBy("i").select(body_dates(F.col("p")).alias("d")).collect()]
+    assert found == [[(1899, "day"), (1898, "year"), (1901, "year")], [(1888, "year")], []]
+
+
+def test_outcomes_of_tries(spark):
+    from scriptorium.sources.queries import fetch_outcomes
+
+    tries = [("a", 1, 500), ("a", 2, 304), ("b", 1, 500), ("b", 2, 500), ("b", 3, 500), ("b", 4, 200), ("c", 1, 404)]
+    got = {r.url: (r.outcome, r.attempts, r.waited) for r in fetch_outcomes(spark.createDataFrame(tries, "url string, attempt int, status int")).collect()}
+    assert got == {"a": ("cached", 2, 2), "b": ("error", 3, 6), "c": ("error", 1, 0)}
+
+
+def test_relational_scan(spark):
+    from scriptorium.sources.tables import jdbc_table
+
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.range(20).selectExpr("id", "id % 3 AS k").write.format("jdbc").options(url="jdbc:derby:memory:works;create=true", dbtable="works", **options).mode("overwrite").save()
+    rows = jdbc_table(spark, "jdbc:derby:memory:works", "works", "ID", (0, 20), 4, **options)
+    assert rows.rdd.getNumPartitions() == 4 and rows.filter("k = 1").count() == 7
