@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..registry import query
+from .graph import checkpointed
 
 
 def neighbours(df: DataFrame, key: str, group: list[str], order: list[str]) -> DataFrame:
@@ -19,6 +20,26 @@ def ordinal(group: list[str], order: list[str]) -> Column:
     return F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
 
 
+def placed(df: DataFrame, group: list[str], order: list[str], cost: str | None = None) -> DataFrame:
+    """df with place (rows before it in its group) and, of a cost, spent_before (their sum), however large a group is.
+
+    Rows are range-partitioned by group and order, counted within each range, and shifted by what earlier ranges of the
+    group hold, so no task sees a whole group. Rows that tie in all of order get places in any order.
+    """
+    own = df.withColumn("_cost", F.col(cost) if cost else F.lit(0))
+    rows = checkpointed(own.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()))
+    here = Window.partitionBy("_range", *group).orderBy(*order)
+    before = F.coalesce(F.sum("_cost").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumns({"place": F.row_number().over(here) - 1, "spent_before": before})
+    sums = rows.groupBy("_range", *group).agg(F.count("*").alias("_n"), F.sum("_cost").alias("_sum"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range and group
+    shift = sums.select(F.col("_range").alias("_r"), *(F.col(g).alias(f"_{g}") for g in group), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_sum"))
+    same = (F.col("_range") == F.col("_r"))
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return rows.join(shift, same).select(*df.columns, (F.col("place") + F.col("_n")).alias("place"), (F.col("spent_before") + F.col("_sum")).alias("spent_before"))
+
+
 def top_per_group(df: DataFrame, k: int, group: list[str], order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("_r") <= k).drop("_r")
 
@@ -30,8 +51,7 @@ def last_two(array: Column) -> Column:
 
 def within_budget(df: DataFrame, cost: str, budget: int, group: list[str], order: list[str]) -> DataFrame:
     """Rows whose running cost before them is below the budget."""
-    before = F.coalesce(F.sum(cost).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("spent_before", before).filter(F.col("spent_before") < budget)
+    return placed(df, group, order, cost).drop("place").filter(F.col("spent_before") < budget)
 
 
 @query("wn01_prev_next", "SELECT conv_id, turn, lag(turn) OVER w AS prev_turn, lead(turn) OVER w AS next_turn FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
@@ -81,7 +101,8 @@ def rank_then_score(t):
 )
 def round_robin(t):
     sizes = t.documents.groupBy("source").agg(F.count("*").alias("n"))
-    rows = t.documents.select("doc_id", "source").withColumn("k", ordinal(["source"], ["doc_id"]))
+    rows = top_per_group(t.documents.select("doc_id", "source"), 37, ["source"], ["doc_id"])  # no source gives more than all
+    rows = rows.withColumn("k", ordinal(["source"], ["doc_id"]))
     return rows.join(sizes, "source").orderBy("k", F.desc("n"), "source", "doc_id").limit(37).select("doc_id")
 
 
@@ -93,7 +114,8 @@ def budget(t):
 
 @query("wn09_batches", "SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 15 AS batch FROM documents")
 def batches(t):
-    return t.documents.select("source", "doc_id", F.floor(ordinal(["source"], ["doc_id"]) / 15).cast("bigint").alias("batch"))
+    rows = placed(t.documents.select("source", "doc_id"), ["source"], ["doc_id"])
+    return rows.select("source", "doc_id", F.floor(F.col("place") / 15).cast("bigint").alias("batch"))
 
 
 @query(
@@ -106,7 +128,7 @@ def adaptive(t, n: int = 5):
     rows = t.events.select("event_id", "user_id", (F.col("event_id") % 7).alias("depth"))
     rows = rows.withColumn("parent", F.when(F.col("depth") >= 4, F.col("user_id")).otherwise(-1))
     size = F.when(F.col("depth") >= 4, n).otherwise(3 * n)
-    return rows.select("event_id", "depth", F.floor(ordinal(["depth", "parent"], ["event_id"]) / size).cast("bigint").alias("batch"))
+    return placed(rows, ["depth", "parent"], ["event_id"]).select("event_id", "depth", F.floor(F.col("place") / size).cast("bigint").alias("batch"))
 
 
 @query("wn11_duplicate_ordinals", "SELECT conv_id, pos, count(*) AS n FROM (SELECT conv_id, turn // 2 AS pos FROM conversations) GROUP BY 1, 2 HAVING count(*) > 1")

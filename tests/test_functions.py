@@ -274,3 +274,18 @@ def test_relational_scan(spark):
     spark.range(20).selectExpr("id", "id % 3 AS k").write.format("jdbc").options(url="jdbc:derby:memory:works;create=true", dbtable="works", **options).mode("overwrite").save()
     rows = jdbc_table(spark, "jdbc:derby:memory:works", "works", "ID", (0, 20), 4, **options)
     assert rows.rdd.getNumPartitions() == 4 and rows.filter("k = 1").count() == 7
+
+
+def test_places_of_a_hot_group(spark):
+    from scriptorium.operators.windows import placed
+
+    rows = [("hot" if i % 4 else None if i % 8 else "cold", i, i % 5) for i in range(400)]
+    frame = spark.createDataFrame(rows, "g string, i long, c long").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = placed(frame, ["g"], ["i"], "c").collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 400
+    for g in ("hot", "cold", None):
+        own = sorted((r for r in got if r.g == g), key=lambda r: r.i)
+        assert [r.place for r in own] == list(range(len(own)))
+        assert [r.spent_before for r in own] == list(itertools.accumulate([0, *(r.c for r in own[:-1])]))
