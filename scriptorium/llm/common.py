@@ -28,7 +28,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of cut() that nothing will read again: what was made of them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df._written)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         small = small.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        stars = cut(_oriented(small), "small")
+        before, stars = stars, cut(_oriented(small), "small")
+        release(before, large)
         now = _fingerprint(stars)
         if now == seen:
             break

@@ -326,11 +326,57 @@ def _stripped(rows: DataFrame) -> DataFrame:
     return rows.join(ends, "key").select("key", "lid", "label", F.substring("rest", F.col("front") + 1, F.length("rest") - F.col("front") - F.col("back")).alias("rest"), "t")
 
 
-def _pairs(rows: DataFrame, facts: DataFrame, plausible) -> DataFrame:
-    """Plausible pairs of lines under a key whose labels differ."""
-    full = rows.select("key", "lid", "label").distinct().join(facts, "lid")
-    same = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") < F.col("q.label")) & plausible("p", "q")
-    return full.alias("p").join(full.alias("q"), same).select(F.least("p.lid", "q.lid").alias("a"), F.greatest("p.lid", "q.lid").alias("b"))
+#: Lines of a key whose pairs are filtered at once.
+SQUARE = 1024
+
+
+def group_links(lids: np.ndarray, labels: np.ndarray, lines: list[str], sizes: np.ndarray, parities_: np.ndarray, per_edit: int, most: int) -> list[tuple[int, int]]:
+    """Links between the lines of a key whose labels differ: sizes and parities first, then banded edit distance."""
+    out = []
+    for lo in range(0, len(lids), SQUARE):
+        for up in range(lo, len(lids), SQUARE):
+            i, j = slice(lo, lo + SQUARE), slice(up, up + SQUARE)
+            t = np.minimum(np.minimum(sizes[i, None], sizes[None, j]) // per_edit, most)
+            ok = (np.abs(sizes[i, None] - sizes[None, j]) <= t) & (labels[i, None] != labels[None, j])
+            ok &= np.bitwise_count(parities_[i, None] ^ parities_[None, j]) <= 2 * t
+            for x, y in np.argwhere(np.triu(ok, 1) if lo == up else ok).tolist():
+                if within(lines[lo + x], lines[up + y], int(t[x, y])):
+                    out.append((int(lids[lo + x]), int(lids[up + y])))
+    return out
+
+
+def _linked(per_edit: int, most: int):
+    """Links of rows that come sorted by key."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.concat_batches([held, batch])
+            keys = held.column("key").to_numpy()
+            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+            yield made(held.slice(0, last))
+            held = held.slice(last)
+        if held is not None:
+            yield made(held)
+
+    def made(rows):
+        out = []
+        if rows.num_rows:
+            keys, lids, labels, sizes, marks = (rows.column(n).to_numpy() for n in ("key", "lid", "label", "size", "parity"))
+            lines = rows.column("line").to_pylist()
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True):
+                if hi - lo > 1:
+                    out += group_links(lids[lo:hi], labels[lo:hi], lines[lo:hi], sizes[lo:hi].astype(np.int64), marks[lo:hi], per_edit, most)
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(2)], ["a", "b"])
+
+    return run
+
+
+def _links_in_keys(rows: DataFrame, lines: DataFrame, per_edit: int, most: int) -> DataFrame:
+    """Links (a, b) between lines under a key whose labels differ."""
+    full = rows.select("key", "lid", "label").distinct().join(lines.select("lid", "line", "size", "parity"), "lid")
+    return full.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(per_edit, most), "a long, b long")
 
 
 def _split(rows: DataFrame) -> DataFrame:
@@ -339,9 +385,9 @@ def _split(rows: DataFrame) -> DataFrame:
     return rows.join(mixed, "key")
 
 
-def _within_keys(apart: DataFrame, lines: DataFrame, facts: DataFrame, plausible, per_edit: int, most: int) -> DataFrame:
-    """Plausible pairs under the keys of apart(key, lid, label, n); keys of more than HOT rows are split by what is left of their lines."""
-    found = _pairs(apart.filter(F.col("n") <= HOT), facts, plausible)
+def _within_keys(apart: DataFrame, lines: DataFrame, per_edit: int, most: int) -> DataFrame:
+    """Links under the keys of apart(key, lid, label, n); keys of more than HOT rows are split by what is left of their lines."""
+    found = _links_in_keys(apart.filter(F.col("n") <= HOT), lines, per_edit, most)
     hot = apart.filter(F.col("n") > HOT)
     if hot.isEmpty():
         return found
@@ -350,7 +396,7 @@ def _within_keys(apart: DataFrame, lines: DataFrame, facts: DataFrame, plausible
         level = cut(_split(_stripped(cut(rows, "rests")).mapInArrow(_more_rests, _RESTS).distinct()), "rests")
         # a rest of a few characters is not cut again: its key has but a bounded number of texts
         few = (F.col("n") <= HOT) | F.col("rest").isNull()
-        found = found.unionAll(_pairs(level.filter(few), facts, plausible))
+        found = found.unionAll(_links_in_keys(level.filter(few), lines, per_edit, most))
         rows = level.filter(~few).drop("n")
         if rows.isEmpty():
             return found
@@ -389,8 +435,7 @@ def line_classes(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) ->
 
     labelled = members.join(roots.withColumnRenamed("node", "lid"), "lid", "left").select("key", "lid", F.coalesce("root", "lid").alias("label"))
     apart = cut(_split(labelled), "apart")
-    more = links(_within_keys(apart, lines, facts, plausible, per_edit, most).distinct().join(star, ["a", "b"], "left_anti"))
-    return connected_components(cut(edges.unionAll(more), "links"))
+    return connected_components(cut(edges.unionAll(_within_keys(apart, lines, per_edit, most)), "links"))
 
 
 def duplicate_lines(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) -> DataFrame:

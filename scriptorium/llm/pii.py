@@ -158,6 +158,10 @@ class Wanted:
         return {w for w in words - self.cold if w in self.hot}
 
 
+#: Texts whose words are held at once.
+SLICE = 512
+
+
 def _term_lines(shared, most: int):
     """(term, line): hashes of wanted terms and of the different lines that hold them; with term 0, the hash of every line.
 
@@ -167,21 +171,23 @@ def _term_lines(shared, most: int):
     def run(batches):
         wanted = Wanted(shared.value)
         for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            lines = {line for t in texts for line in t.split("\n")}
-            words = [set(t.lower().split()) for t in texts]
-            wanted.learn(words)
             found: dict[int, set[int]] = {}
-            for text, own in zip(texts, words, strict=True):
-                if hit := wanted.of(own):
-                    for line in text.split("\n"):
-                        for w in hit.intersection(line.lower().split()):
-                            places = found.setdefault(wanted.hot[w], set())
-                            if len(places) <= most:
-                                places.add(_hash(line))
-            hashes = np.fromiter(map(_hash, lines), np.int64, len(lines))
+            hashes = []
+            for at in range(0, batch.num_rows, SLICE):
+                texts = [t for t in batch.column(0).slice(at, SLICE).to_pylist() if t]
+                hashes.append(np.unique(np.array([_hash(line) for t in texts for line in t.split("\n")], np.int64)))
+                words = [set(t.lower().split()) for t in texts]
+                wanted.learn(words)
+                for text, own in zip(texts, words, strict=True):
+                    if hit := wanted.of(own):
+                        for line in text.split("\n"):
+                            for w in hit.intersection(line.lower().split()):
+                                places = found.setdefault(wanted.hot[w], set())
+                                if len(places) <= most:
+                                    places.add(_hash(line))
+            lines = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.int64)
             terms, held = [t for t, own in found.items() for _ in own], [h for own in found.values() for h in own]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(len(hashes), np.int64), np.array(terms, np.int64)])), pa.array(np.concatenate([hashes, np.array(held, np.int64)]))], ["term", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(len(lines), np.int64), np.array(terms, np.int64)])), pa.array(np.concatenate([lines, np.array(held, np.int64)]))], ["term", "line"])
 
     return run
 
@@ -192,15 +198,17 @@ def _marked(shared):
     def run(batches):
         wanted = Wanted(shared.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            words = [set(t.split()) if t else set() for t in texts]
-            wanted.learn(words)
             out = []
-            for doc_id, text, version, own in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), words, strict=True):
-                if hit := wanted.of(own):
-                    for a, b in outside(text, identifiers(text), 0, len(text)):
-                        if (word := text[a:b]) in hit:
-                            out.append((doc_id, version, wanted.hot[word], *_TERM.search(text, a, b).span()))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = part.column(1).to_pylist()
+                words = [set(t.split()) if t else set() for t in texts]
+                wanted.learn(words)
+                for doc_id, text, version, own in zip(part.column(0).to_pylist(), texts, part.column(2).to_pylist(), words, strict=True):
+                    if hit := wanted.of(own):
+                        for a, b in outside(text, identifiers(text), 0, len(text)):
+                            if (word := text[a:b]) in hit:
+                                out.append((doc_id, version, wanted.hot[word], *_TERM.search(text, a, b).span()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "version", "term", "start", "stop"])
 
     return run
