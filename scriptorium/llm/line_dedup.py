@@ -29,7 +29,7 @@ from .graph import connected_components
 #: Code points of a line for each tolerated edit, and edits at most; shorter lines are compared exactly.
 PER_EDIT, MOST = 10, 2
 #: Characters whose keys are made at once, and characters of the corpus for each bucket of keys.
-KEY_CHARS, BUCKET_CHARS = 2_000_000, 8_000_000
+KEY_CHARS, BUCKET_CHARS = 2_000_000, 2_000_000
 #: Lines of different classes that a key may hold before it is split.
 HOT = 1024
 #: A rest of so many code points for each of t + 1 segments is not cut again.
