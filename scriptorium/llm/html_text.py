@@ -4,7 +4,8 @@ Pages of a host are sorted by URL path; each page meets the nearer of its two ne
 characters. Their text lines are aligned by longest common subsequence, and shared lines are deleted: what neighbouring
 pages have in common is template. Two kinds of evidence from the markup go into that. Elements that are never content
 (navigation, forms, scripts, adverts, ...) go in any case. Lines inside an article (article or main element) need both
-neighbours as witnesses, and a neighbour that shares most of the article is a copy of it and no witness.
+neighbours as witnesses and must stand at its end, as sharing links and credits do; a neighbour that shares most of the
+article is a copy of it and no witness.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import html
 import re
 from bisect import bisect_left
 from collections import Counter
+from itertools import takewhile
 from typing import NamedTuple
 
 import numpy as np
@@ -209,7 +211,9 @@ def decide(before: Page | None, page: Page, after: Page | None) -> list[int]:
     if shared:
         gone = shared[max(shared, key=lambda p: nearness(page.path, p.path))] - inside
     if len(shared) == 2:
-        gone |= set.intersection(*shared.values())
+        both = set.intersection(*shared.values())
+        # what follows the article; a line at its head or amid others is content
+        gone |= both - inside | set(takewhile(both.__contains__, sorted(inside, reverse=True)))
     kept = [i for i in everything if i not in gone]
     total = sum(page.sizes[i] for i in kept)
     for depth in (2, 1):

@@ -55,6 +55,9 @@ def test_evidence():
     share, side = ("Tell your friends", 2), ("Popular today", 0)
     both = decide(page_of([side, *other, share], "/1"), page_of([side, *story, share], "/2"), page_of([side, *third, share], "/3"))
     assert both == [1, 2, 3, 4]
+    # a line amid the article's own stays
+    amid = decide(page_of([*other[:2], share, *other[2:]], "/1"), page_of([*story[:2], share, *story[2:]], "/2"), page_of([*third[:2], share, *third[2:]], "/3"))
+    assert amid == [0, 1, 2, 3, 4]
     # one neighbour is no proof against an article's line; a copy is none at all
     assert decide(page_of([side, *other, share], "/1"), page_of([side, *story, share], "/2"), None) == [1, 2, 3, 4, 5]
     assert decide(page_of([*story, share], "/1"), page_of([*story, share], "/2"), page_of([*third, share], "/3")) == [0, 1, 2, 3, 4]
