@@ -9,11 +9,12 @@ from ..functions.identity import text_hash
 from ..functions.text import clean, sentences
 from ..operators.windows import neighbours
 from ..registry import query
+from ..sources.tables import spread
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """Lines of a document as paragraphs, in order, empty ones out."""
-    rows = docs.select("doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("para_index", "raw"))
+    rows = spread(docs.select("doc_id", "source", "lang", "text")).select("doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("para_index", "raw"))
     rows = rows.select("doc_id", "source", "lang", "para_index", clean(F.col("raw")).alias("text")).filter("text <> ''")
     return rows.withColumn("para_hash", text_hash(F.col("text")))
 

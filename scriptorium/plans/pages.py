@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import block_subtype, block_type, page_subtype
 from ..operators import html_blocks
 from ..registry import query
+from ..sources.tables import spread
 
 _BLOCKS = "page_id long, url string, blocks array<struct<title:string,level:int,author:string,paragraphs:array<string>>>"
 _BLOCK_TYPE = pa.list_(pa.struct([("title", pa.string()), ("level", pa.int32()), ("author", pa.string()), ("paragraphs", pa.list_(pa.string()))]))
@@ -23,7 +24,7 @@ def _mapped(pages: DataFrame, schema: str, make, types: list) -> DataFrame:
             rows = [make(h, u) for h, u in zip(b.column("html").to_pylist(), b.column("url").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), *(pa.array([r[n] for r in rows], t) for n, t in types)], names)
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
+    return spread(pages.select("page_id", "url", "html")).mapInArrow(run, schema)
 
 
 def parsed_blocks(pages: DataFrame) -> DataFrame:

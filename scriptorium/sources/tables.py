@@ -17,6 +17,13 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a table is smaller than what one scan task may read, as one row group is never split; else df as it is."""
+    spark = df.sparkSession
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(spark.sparkContext.defaultParallelism) if small else df
+
+
 def jdbc_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, tasks: int = 8, **options: str) -> DataFrame:
     """A relational table, read by ranges of a whole-number key where one is given; filters and columns are pushed down."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
