@@ -42,8 +42,11 @@ def release(*tables: DataFrame) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """A table's columns, over all cores where it is smaller than what one scan task may read, as one row group is never split."""
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(spark.sparkContext.defaultParallelism) if small else df
 
 
 def partitions(spark: SparkSession) -> int:
