@@ -29,7 +29,9 @@ from .graph import connected_components
 #: Code points of a line for each tolerated edit, and edits at most; shorter lines are compared exactly.
 PER_EDIT, MOST = 10, 2
 #: Characters whose keys are made at once, and characters of the corpus for each bucket of keys.
-KEY_CHARS, BUCKET_CHARS = 2_000_000, 2_000_000
+KEY_CHARS, BUCKET_CHARS = 500_000, 2_000_000
+#: Documents of a batch that are taken apart at once.
+SLICE = 1024
 #: Lines of different classes that a key may hold before it is split.
 HOT = 1024
 #: A rest of so many code points for each of t + 1 segments is not cut again.
@@ -102,18 +104,16 @@ def line_keys(lines: list[str], per_edit: int = PER_EDIT, most: int = MOST) -> t
     up, down = _powers(1 << int(sizes.max()).bit_length())
     place = np.arange(len(text)) - np.repeat(starts, sizes)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix((text.astype(np.uint64) + np.uint64(1)) * _M1) * up[place], dtype=np.uint64)])
-    keys, owners = [], []
-    order = np.argsort(sizes, kind="stable")
-    for n, own in zip(*(lambda v, i: (v.tolist(), np.split(order, i[1:])))(*np.unique(sizes[order], return_index=True)), strict=True):
-        m, i, at, size, _ = spots(n, per_edit, most)
-        if len(m):
-            first = starts[own][:, None] + at
-            h = (sums[first + size] - sums[first]) * down[at]
-            keys.append(_mix((h + (m * 8 + i).astype(np.uint64) * _M1) * _M2).ravel())
-            owners.append(np.repeat(own, len(m)))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(keys).view(np.int64), np.concatenate(owners)
+    lengths, which = np.unique(sizes, return_inverse=True)
+    tables = [spots(n, per_edit, most) for n in lengths.tolist()]
+    counts = np.fromiter((t.shape[1] for t in tables), np.int64, len(tables))
+    m, i, at, size, _ = np.concatenate(tables, axis=1)
+    per = counts[which]
+    owners = np.repeat(np.arange(len(lines)), per)
+    spot = np.arange(len(owners)) + np.repeat((np.cumsum(counts) - counts)[which] - (np.cumsum(per) - per), per)
+    at, first = at[spot], starts[owners]
+    h = (sums[first + at + size[spot]] - sums[first + at]) * down[at]
+    return _mix((h + (m * 8 + i).astype(np.uint64)[spot] * _M1) * _M2).view(np.int64), owners
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -180,8 +180,14 @@ def parities(lines: list[str]) -> np.ndarray:
     return np.bitwise_xor.reduceat(bits, np.cumsum(sizes) - sizes).view(np.int64)
 
 
-def _documents(batches):
+def _slices(batches):
     for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE):
+            yield batch.slice(lo, SLICE)
+
+
+def _documents(batches):
+    for batch in _slices(batches):
         ids = [None if t is None else [line_id(s) if (s := line.strip()) else None for line in t.split("\n")] for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "version", "lines"])
 
@@ -213,7 +219,7 @@ def _keys(per_edit: int, most: int, buckets: int):
     """Keys in buckets by their range, with one or two lines each: enough to tell whether different lines share one."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             parts = [(keys, ids[owners]) for _, ids, keys, owners in _keyed(batch, per_edit, most)]
             if not parts:
                 continue
@@ -239,7 +245,7 @@ def _candidates(per_edit: int, most: int, shared):
     """Lines with keys that a broadcast bitmap lets pass, and those keys."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             for lines, ids, keys, owners in _keyed(batch, per_edit, most):
                 keep = maybe_members(shared.value, keys)
                 keys, owners = keys[keep], owners[keep]
