@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of Arrow batches that gives its memory back to the system when it ends: Python workers outlive their tasks."""
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 class WordIds(dict):
     """Word (bytes) -> 64-bit hash, remembered up to a bound."""
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidied
+
 SAMPLE_DOCS, SAMPLE_WORDS, STRETCHES = 400, 150, 10
 #: Languages that are learned, the most frequent ones.
 LANGUAGES = 100
@@ -326,7 +328,7 @@ def predicted(docs: DataFrame, model: Field | None, schema: str, *carried: str)
             columns = [batch.column(c) for c in carried]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], [*carried, "lang_pred", "score"])
 
-    return docs.select(*dict.fromkeys([*carried, "text"])).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*carried, "text"])).mapInArrow(tidied(run), f"{schema}, lang_pred string, score double")
 
 
 def _remainder(m: int):

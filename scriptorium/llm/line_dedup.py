@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_members, membership, partitions
+from .common import cut, maybe_members, membership, partitions, tidied
 from .graph import connected_components
 
 #: Code points of a line for each tolerated edit, and edits at most; shorter lines are compared exactly.
@@ -382,7 +382,7 @@ def _linked(per_edit: int, most: int):
 def _links_in_keys(rows: DataFrame, lines: DataFrame, per_edit: int, most: int) -> DataFrame:
     """Links (a, b) between lines under a key whose labels differ."""
     full = rows.select("key", "lid", "label").distinct().join(lines.select("lid", "line", "size", "parity"), "lid")
-    return full.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(per_edit, most), "a long, b long")
+    return full.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(_linked(per_edit, most)), "a long, b long")
 
 
 def _split(rows: DataFrame) -> DataFrame:
@@ -413,10 +413,10 @@ def line_classes(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) ->
     plain = docs.select("doc_id", "text")
     chars = plain.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     buckets = max(partitions(docs.sparkSession), -(-chars // BUCKET_CHARS))
-    rows = plain.mapInArrow(_keys(per_edit, most, buckets), "bucket long, keys binary, lids binary")
+    rows = plain.mapInArrow(tidied(_keys(per_edit, most, buckets)), "bucket long, keys binary, lids binary")
     shared = cut(rows.groupBy("bucket").applyInArrow(_shared_keys, "key long"), "shared")
     some = docs.sparkSession.sparkContext.broadcast(membership(shared, "key"))
-    lines = cut(plain.mapInArrow(_candidates(per_edit, most, some), "lid long, line string, size int, parity long, keys array<bigint>").dropDuplicates(["lid"]), "lines")
+    lines = cut(plain.mapInArrow(tidied(_candidates(per_edit, most, some)), "lid long, line string, size int, parity long, keys array<bigint>").dropDuplicates(["lid"]), "lines")
     held = lines.select("lid", F.explode("keys").alias("key")).distinct().join(shared, "key", "left_semi")
     centers = held.groupBy("key").agg(F.min("lid").alias("center"))
     members = cut(held.join(centers, "key"), "members")
@@ -431,7 +431,7 @@ def line_classes(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST) ->
     def links(pairs: DataFrame) -> DataFrame:
         side = lambda c: lines.select(F.col("lid").alias(c), F.struct("line", "size").alias(f"_{c}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
-        return both.select("a", "b", F.col("_a.line").alias("xl"), F.col("_b.line").alias("yl"), threshold("_a", "_b").alias("t")).mapInArrow(_near, "a long, b long")
+        return both.select("a", "b", F.col("_a.line").alias("xl"), F.col("_b.line").alias("yl"), threshold("_a", "_b").alias("t")).mapInArrow(tidied(_near), "a long, b long")
 
     star = members.filter("lid <> center").select(F.col("center").alias("a"), F.col("lid").alias("b")).distinct()
     ends = lambda c, to: facts.select(F.col("lid").alias(c), F.struct("size", "parity").alias(to))
@@ -454,7 +454,7 @@ def duplicate_lines(docs: DataFrame, per_edit: int = PER_EDIT, most: int = MOST)
     ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("version"))
-    listed = cut(docs.mapInArrow(_documents, "doc_id long, version long, lines array<bigint>").dropDuplicates(["doc_id", "version"]), "listed")
+    listed = cut(docs.mapInArrow(tidied(_documents), "doc_id long, version long, lines array<bigint>").dropDuplicates(["doc_id", "version"]), "listed")
     spots = listed.select("doc_id", "version", F.posexplode("lines").alias("pos", "lid")).filter("lid is not null")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos", "version")
     first = spots.groupBy("lid").agg(F.min(place).alias("place"))
@@ -493,4 +493,4 @@ def without_duplicate_lines(docs: DataFrame, per_edit: int = PER_EDIT, most: int
     marked = duplicate_lines(docs, per_edit, most).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "removed")
     rows = docs.select(*columns).withColumn("_v", F.xxhash64("text"))
     joined = rows.join(marked, rows.doc_id.eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left").select(*columns, "removed")
-    return joined.mapInArrow(_rebuilt, "doc_id long, text string, lang string, source string, n_chars long")
+    return joined.mapInArrow(tidied(_rebuilt), "doc_id long, text string, lang string, source string, n_chars long")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordIds, ascii_words, cut, maybe_members, membership
+from .common import WordIds, ascii_words, cut, maybe_members, membership, tidied
 from .graph import connected_components
 
 ROWS, BANDS = 6, 32
@@ -234,7 +234,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     threshold = percent / 100
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
-    sketch = cut(plain.mapInArrow(_sketched(k), _SKETCH), "sketch")
+    sketch = cut(plain.mapInArrow(tidied(_sketched(k)), _SKETCH), "sketch")
     sketch, classes, moved = _told_apart(sketch)
     rows = classes.select("nid", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo < hi").select("key")
@@ -337,12 +337,12 @@ def _set_table(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, m
     """(nid, shingles, exact): full sets of the wanted classes, read again from one document each."""
     first = wanted.join(classes.select("nid", "doc_id"), "nid").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
     some = docs.sparkSession.sparkContext.broadcast(membership(first, "doc_id"))
-    return docs.mapInArrow(_sets(k, some, moved), "nid long, shingles binary, exact array<bigint>").join(wanted, "nid", "left_semi").dropDuplicates(["nid"])
+    return docs.mapInArrow(tidied(_sets(k, some, moved)), "nid long, shingles binary, exact array<bigint>").join(wanted, "nid", "left_semi").dropDuplicates(["nid"])
 
 
 def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) of classes that pass the likelihood estimate and the exact comparison."""
     side = lambda c: classes.select(F.col("nid").alias(c), F.col("n").alias(f"{c}n"), F.col("regs").alias(f"{c}r"))
-    likely = cut(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(_likely(percent / 100), "x long, y long"), "likely")
+    likely = cut(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidied(_likely(percent / 100)), "x long, y long"), "likely")
     full = lambda c: sets.select(F.col("nid").alias(c), F.col("shingles").alias(f"{c}s"))
-    return likely.join(full("x"), "x").join(full("y"), "y").mapInArrow(_verified(percent, 100), "x long, y long")
+    return likely.join(full("x"), "x").join(full("y"), "y").mapInArrow(tidied(_verified(percent, 100)), "x long, y long")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_members, membership
+from .common import cut, maybe_members, membership, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
@@ -235,7 +235,7 @@ def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = cut(pairs.join(terms.select(F.col("value").alias("term"), F.col("n").alias("least")), "term").filter(F.col("least") <= most).withColumn("most", most), "pairs")
     bound = pairs.agg(F.coalesce(F.max("most"), F.lit(0.0))).first()[0]
     wanted = context.broadcast(membership(pairs, "term"))
-    spread = cut(texts.select("text").mapInArrow(_term_lines(wanted, int(bound)), "term long, line long"), "lines")
+    spread = cut(texts.select("text").mapInArrow(tidied(_term_lines(wanted, int(bound))), "term long, line long"), "lines")
     total = spread.filter("term = 0").select("line").distinct().count()
     counts = spread.filter("term <> 0").distinct().groupBy("term").agg(F.count("*").alias("n"))
     scored = pairs.join(counts, "term")
@@ -268,10 +268,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Null and empty texts have no span; repeated rows get equal results; other columns are ignored.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("version"))
-    found = cut(plain.mapInArrow(_scan, _FOUND), "found")
+    found = cut(plain.mapInArrow(tidied(_scan), _FOUND), "found")
     risky = cut(disclosures(found, plain.select("text")).groupBy("term").agg(F.max("share").alias("share")), "risky")
     shared = docs.sparkSession.sparkContext.broadcast(membership(risky, "term"))
-    places = plain.mapInArrow(_marked(shared), "doc_id long, version long, term long, start int, stop int")
+    places = plain.mapInArrow(tidied(_marked(shared)), "doc_id long, version long, term long, start int, stop int")
     kind = F.when(F.col("share") >= REMOVE, "term_remove").otherwise("term_general").alias("kind")
     terms = places.join(risky, "term").groupBy(F.col("doc_id").alias("d"), F.col("version").alias("v")).agg(F.collect_set(F.struct(kind, "start", "stop")).alias("terms"))
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_terms long"
