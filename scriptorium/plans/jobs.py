@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.names import canonical_title
 from ..operators.filters import display_label
 from ..registry import query
+from ..sources.tables import spread
 from ..streaming.incremental import keyed_append, read_stream, run_available, shared
 from .date_pipeline import _EVIDENCE_SQL, _evidence, _years, bundle, edition_like, evidence_candidates, finalised, header_candidates, resolved, source_kind, upgrades, within_lifespan
 
@@ -113,6 +114,7 @@ def date_job(editions: DataFrame, evidence: DataFrame, lives: DataFrame, current
     s.source AS resolved_source, s.year AS resolved_year, f.source AS final_source, f.year AS final_year FROM orders o LEFT JOIN d ON d.work_id = o.o_orderkey LEFT JOIN s ON s.work_id = o.o_orderkey LEFT JOIN f ON f.work_id = o.o_orderkey""",
 )
 def date_job_query(t):
+    t = _Orders(spread(t.orders))
     y = F.year("o_orderdate").cast("string")
     url = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("https://e.org/a/"), y, F.lit("/x.htm"))).otherwise("https://e.org/a/x.htm")
     editions = t.orders.select(F.col("o_orderkey").alias("work_id"), url.alias("url"), F.create_map(F.lit("Editor"), F.lit("nobody")).alias("fields"), F.lit("A title").alias("title"))
