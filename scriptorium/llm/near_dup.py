@@ -38,7 +38,7 @@ FINGERPRINT_SLACK, SLACK = 0.11, 0.09
 #: Sets of up to so many shingles travel with the bucket join and are compared there.
 EXACT = 256
 #: Classes that a bucket may pair.
-HOT = 1024
+HOT = 8192
 #: 64-bit words of a fingerprint: two mixed bits a register.
 FINGERPRINT = REGISTERS * 2 // 64
 _P1, _P2, _P3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
