@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,47 +13,182 @@ from ..functions.names import match_form, same_author, sort_name, variant_type
 from ..registry import query
 from .graph import breadth_first, checkpointed, components
 
-#: Character n-gram size, and the least share of the shorter form's n-grams that similar forms have in common.
+#: Character n-gram size, and the least share of the shorter form's n-grams that similar long forms have in common.
 GRAM, SHARED = 3, 0.2
+#: Characters without a counterpart, of both together, that the keys of similar() allow for; rows of a batch of keys, and of a task that pairs them.
+MOST, BATCH, TASK_KEYS = 6, 1 << 18, 1 << 20
+KEYS = ["key", "id", "skip", "odd"]
+
+
+def unmatched(a: int, b: int, least: float) -> int:
+    """Most characters without a counterpart in strings of these lengths whose ratio reaches so much; below 0 if none can."""
+    if 2 * min(a, b) < least * (a + b) - 1e-9:
+        return -1
+    most = int((1 - least) * (a + b) + 1e-9)
+    return most - (a + b - most) % 2
+
+
+def key_plan(lengths: list[int], least: float) -> dict[int, dict[tuple[int, int], int]]:
+    """Of each length, for keys (part, characters kept), the most characters left out.
+
+    Strings whose ratio reaches least have a common subsequence of m characters and d others, both known from their
+    lengths. If d is small, the subsequence is the key (part 0). Else of its two halves either the first has d // 2 of
+    the others before its last character (part 1), or the second fewer than what is left after its first (part 2).
+    """
+    plan = {n: {} for n in lengths}
+    for a in lengths:
+        for b in lengths:
+            d = unmatched(a, b, least)
+            if not 0 < d <= MOST:
+                continue
+            m = (a + b - d) // 2
+            needs = [((0, m), a - m)] if d <= 3 else [((1, m // 2), min(d // 2, a - m)), ((2, m - m // 2), min(d - 1 - d // 2, a - m))]
+            for key, out in needs:
+                plan[a][key] = max(out, plan[a].get(key, 0))
+    return plan
+
+
+def kept_places(part: int, keep: int, out: int, length: int) -> np.ndarray:
+    """(keys, keep): the places of each key's characters; keys of halves end with a character that is kept."""
+    if part == 0:
+        return np.array(list(combinations(range(length), keep)), np.int64).reshape(-1, keep)
+    rows = [(*c, keep + i - 1) for i in range(out + 1) if keep + i <= length for c in combinations(range(keep + i - 1), keep - 1)]
+    places = np.array(rows, np.int64).reshape(-1, keep)
+    return places if part == 1 else length - 1 - places
+
+
+def subsequence_keys(plan: dict[int, dict[tuple[int, int], int]]):
+    """Arrow batches of (id, text, skip) -> (key, id, skip, odd): hashes of the subsequences that the plan names, each once a text; a bit for each character met an odd number of times."""
+    factors = np.random.default_rng(0).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def keys(codes: np.ndarray):
+        length = codes.shape[1]
+        for (part, keep), out in sorted(plan[length].items()):
+            places = kept_places(part, keep, out, length)
+            for lo in range(0, len(places), 64):
+                total = np.full((len(codes), len(places[lo : lo + 64])), part * 256 + keep, np.uint64) * factors[255]
+                for r, at in enumerate(places[lo : lo + 64].T):
+                    total += codes[:, at] * factors[r]
+                total = np.sort(total ^ total >> np.uint64(31), axis=1)
+                yield total, np.diff(total, axis=1, prepend=~total[:, :1]) != 0
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            ids, skip = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for n in np.unique(sizes):
+                if not plan.get(int(n)):
+                    continue
+                for rows in np.array_split(np.flatnonzero(sizes == n), -(-int((sizes == n).sum()) * 64 // BATCH)):
+                    codes = np.frombuffer("".join(texts[i] for i in rows).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(rows), n).astype(np.uint64)
+                    odd = np.bitwise_xor.reduce(np.uint64(1) << (codes & np.uint64(63)), axis=1)
+                    for found, new in keys(codes):
+                        at = np.nonzero(new)[0]
+                        yield pa.RecordBatch.from_arrays([pa.array(found[new].view(np.int64)), pa.array(ids[rows[at]]), pa.array(skip[rows[at]]), pa.array(odd[at].view(np.int64))], KEYS)
+
+    return run
+
+
+def meeting(batches):
+    """All rows of some keys -> (p, q), p < q, of one key and two skips; each character without a counterpart changes one bit of odd at most."""
+    held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
+    if not held:
+        return
+    columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+    order = np.argsort(columns[0], kind="stable")
+    key, ids, skip, odd = (c[order] for c in columns)
+    first, apart = np.arange(len(key)), 1
+    while len(first := first[first + apart < len(key)]) and len(first := first[key[first] == key[first + apart]]):
+        other = first + apart
+        near = (skip[first] != skip[other]) & (ids[first] != ids[other]) & (np.bitwise_count(odd[first] ^ odd[other]) <= MOST)
+        a, b = ids[first[near]], ids[other[near]]
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["p", "q"])
+        apart += 1
 
 
-def candidate_pairs(names: DataFrame) -> DataFrame:
-    """names(id, rank, form) -> pairs of names to compare: a common last word, a lone word of the other, or many common n-grams.
+def longest(least: float) -> int:
+    """Length up to which any two strings can be compared by similar()."""
+    return next((n for n in range(1, 200) if unmatched(n + 1, n + 1, least) > MOST), 200)
+
+
+def similar(strings: DataFrame, least: float) -> DataFrame:
+    """strings(id, text, skip) -> (p, q), p < q: all pairs whose character ratio may reach least, but those of one skip.
+
+    For texts up to longest(least); pairs meet in a common subsequence, so that their number is near that of the result.
+    """
+    cores = strings.sparkSession.sparkContext.defaultParallelism
+    counts = {r["n"]: r["count"] for r in strings.groupBy(F.length("text").alias("n")).count().collect()}  # lengths of names: few
+    plan = key_plan([n for n in counts if 0 < n <= longest(least)], least)
+    total = sum(counts[n] * sum(len(kept_places(part, keep, out, n)) for (part, keep), out in own.items()) for n, own in plan.items())
+    made = strings.repartition(max(cores, sum(counts.values()) // 50_000), "id").mapInArrow(subsequence_keys(plan), ", ".join(f"{c} long" for c in KEYS))
+    pairs = made.repartition(max(cores, total // TASK_KEYS), "key").mapInArrow(meeting, "p long, q long").distinct()
+    side = lambda c, to: strings.select(F.col("id").alias(c), F.col("text").alias(to))
+    both = pairs.join(side("p", "x").hint("merge"), "p").join(side("q", "y").hint("merge"), "q")
+    return both.filter(F.levenshtein("x", "y") <= (F.length("x") + F.length("y")) * (1 - least) + 1e-9).select("p", "q")
+
+
+def similar_long(rows: DataFrame, limit: int) -> DataFrame:
+    """rows(id, form, grams) -> (p, q): pairs with a form longer than limit that have many common n-grams.
 
     A similarity of 0.85 needs common blocks that cover 85 % of both forms; each block edge costs GRAM - 1 n-grams, so at
     least SHARED of the shorter form's n-grams are common. Forms so alike differ little in length, so of each form only
     its rarest n-grams are joined, without the SHARED * 0.7 most frequent ones but one: a pair must meet in one of these,
-    and no n-gram that most names hold pairs them all. Names of one last word are one author by rule, or nearly.
+    and no n-gram that most names hold pairs them all.
+    """
+    own = rows.filter(F.length("form") > limit // 2).withColumn("long", F.length("form") > limit)
+    spread = own.select("id", "long", F.size("grams").alias("n"), F.explode("grams").alias("key"))
+    often = spread.groupBy("key").agg(F.count("*").alias("often"))
+    ranked = spread.join(often, "key").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("often", "key")))
+    rare = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * (SHARED * 0.7)) + 1).select("id", "long", "key")
+    a, b = rare.alias("a"), rare.alias("b")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.long") | F.col("b.long"))).select(F.col("a.id").alias("p"), F.col("b.id").alias("q")).distinct()
+    side = lambda c, to: rows.select(F.col("id").alias(c), F.col("grams").alias(to))
+    both = met.join(side("p", "g"), "p").join(side("q", "h"), "q")
+    return both.filter(F.size(F.array_intersect("g", "h")) >= F.least(F.size("g"), F.size("h")) * SHARED).select("p", "q")
+
+
+def candidate_pairs(names: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """names(id, rank, form) -> pairs of names to compare (src, dst, x, y), the earlier name first.
+
+    They have a common last word, or similar ones, or a lone word of the other, or are similar as a whole: all that
+    same_author() can link. Names of one last word are one author by rule, or nearly, and meet by that word alone.
     """
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("form") - GRAM + 1, F.lit(1))), lambda i: F.substring(F.col("form"), i, F.lit(GRAM))))
-    rows = checkpointed(names.select("id", "rank", "form", F.split("form", " ").alias("words"), grams.alias("grams")))
+    rows = checkpointed(names.select("id", "rank", "form", F.split("form", " ").alias("words")).withColumn("last", F.element_at("words", -1)))
 
     def met(left: DataFrame, right: DataFrame) -> DataFrame:
-        """(a, b) by id, the earlier name first, that share a key."""
-        a, b = left.alias("a"), right.alias("b")
-        both = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")))
-        first = F.col("a.rank") < F.col("b.rank")
-        return both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("src"), F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("dst"))
-
-    last = rows.select("id", "rank", F.element_at("words", -1).alias("key"))
-    lone = rows.filter(F.size("words") == 1).select("id", "rank", F.col("words")[0].alias("key"))
-    held = rows.select("id", "rank", F.explode(F.array_distinct("words")).alias("key"))
-    spread = rows.select("id", "rank", F.size("grams").alias("n"), F.explode("grams").alias("key"))
-    often = spread.groupBy("key").agg(F.count("*").alias("often"))
-    ranked = spread.join(often, "key").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("often", "key")))
-    rare = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * (SHARED * 0.7)) + 1).select("id", "rank", "key")
-    alike = met(rare, rare).distinct()
-    facts = lambda c, form, own: rows.select(F.col("id").alias(c), F.col("form").alias(form), F.col("grams").alias(own))
-    alike = alike.join(facts("src", "x", "g"), "src").join(facts("dst", "y", "h"), "dst")
-    alike = alike.filter(F.size(F.array_intersect("g", "h")) >= F.least(F.size("g"), F.size("h")) * SHARED).select("src", "dst", "x", "y")
-    worded = met(last, last).union(met(lone, held)).distinct().join(facts("src", "x", "g"), "src").join(facts("dst", "y", "h"), "dst").select("src", "dst", "x", "y")
-    return alike.union(worded).distinct()
+        """(p, q), p < q, that share a key."""
+        both = left.alias("a").join(right.hint("merge").alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")))
+        return both.select(F.least("a.id", "b.id").alias("p"), F.greatest("a.id", "b.id").alias("q"))
+
+    last = rows.select("id", F.col("last").alias("key"))
+    lone = rows.filter(F.size("words") == 1).select("id", F.col("words")[0].alias("key"))
+    held = rows.select("id", F.explode(F.array_distinct("words")).alias("key"))
+    found = met(last, last).filter("p < q").union(met(lone, held))
+
+    ends = checkpointed(rows.select("last").distinct().select(F.monotonically_increasing_id().alias("id"), "last"))
+    found = found.union(similar(rows.select("id", F.col("form").alias("text"), F.xxhash64("last").alias("skip")), threshold))
+    near = similar(ends.select("id", F.col("last").alias("text"), F.col("id").alias("skip")), 0.85)
+    word = lambda c, to: ends.select(F.col("id").alias(c), F.col("last").alias(to))
+    near = near.join(word("p", "u"), "p").join(word("q", "v"), "q").select("u", "v")
+    of = lambda c, to: rows.select(F.col("last").alias(c), F.col("id").alias(to))
+    found = found.union(near.join(of("u", "i"), "u").join(of("v", "j"), "v").select(F.least("i", "j"), F.greatest("i", "j")))
+    limit = longest(threshold)
+    if rows.filter(F.length("form") > limit).limit(1).count():
+        found = found.union(similar_long(rows.select("id", "form", grams.alias("grams")), limit))
+    side = lambda c, form, rank: rows.select(F.col("id").alias(c), F.col("form").alias(form), F.col("rank").alias(rank)).hint("merge")
+    both = found.distinct().join(side("p", "x", "r"), "p").join(side("q", "y", "s"), "q")
+    first = F.col("r") < F.col("s")
+    turn = lambda a, b, to: F.when(first, F.col(a)).otherwise(F.col(b)).alias(to)
+    return both.select(turn("p", "q", "src"), turn("q", "p", "dst"), turn("x", "y", "x"), turn("y", "x", "y"))
 
 
 def name_clusters(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     """names(id, name, works) -> (id, component) over same-author links; earlier names by works desc, then name."""
     ranked = checkpointed(names.select("id", match_form(F.col("name")).alias("form"), F.struct((-F.col("works")).alias("w"), "name", "id").alias("rank")))
-    links = candidate_pairs(ranked).filter(same_author(threshold)("x", "y")).select("src", "dst")
+    links = candidate_pairs(ranked, threshold).filter(same_author(threshold)("x", "y")).select("src", "dst")
     return components(ranked.select("id"), links)
 
 

@@ -1,6 +1,7 @@
 import itertools
 import uuid
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -248,6 +249,43 @@ def test_names_do_not_all_meet_by_a_common_word(spark):
     assert pairs.count() < 300 * 299 // 2 // 4
 
 
+def test_names_alike_by_last_word_or_as_a_whole_are_all_candidates(spark):
+    import random
+
+    from scriptorium.operators.identity_resolution import candidate_pairs, key_plan, longest, subsequence_keys
+
+    draw = random.Random(1)
+    letters = lambda n, of="bcdfghklmnprstvz": "".join(draw.choice(of) for _ in range(n))
+
+    def edited(s):
+        for _ in range(draw.randint(1, 4)):
+            i = draw.randrange(len(s) + 1)
+            s = draw.choice([s[:i] + letters(1) + s[i:], s[:i] + s[i + 1 :], s[:i] + letters(1) + s[i + 1 :]])
+        return s
+
+    # every pair of short strings that reaches the ratio has a key in common
+    base = [letters(draw.randint(1, 21), draw.choice(["ab", "bcdfghklmnprstvz"])) for _ in range(150)]
+    strings = sorted({s for b in base for s in (b, edited(b), edited(b)) if 0 < len(s) <= longest(0.85)})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(strings))), pa.array(strings), pa.array(range(len(strings)))], ["id", "text", "skip"])
+    keys = [set() for _ in strings]
+    for found in subsequence_keys(key_plan(sorted({len(s) for s in strings}), 0.85))([batch]):
+        for key, i in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
+            keys[i].add(key)
+    alike = [(i, j) for i, j in itertools.permutations(range(len(strings)), 2) if names.reaches(strings[i], strings[j], 0.85)]
+    assert len(alike) > 100 and all(keys[i] & keys[j] for i, j in alike)
+
+    # links of all kinds, of short and long names, with last words that are alike though the names are not
+    people = [f"{a} {b}" for a in ("karl", "rosa maria", "k", "maximilianusbonaventura", "wolfgangtheophilusamadeus") for b in ("petersen", "petersan", "zetkin")]
+    people += ["petersen", "petersan", "hjalmar horace greeley schacht", "hjalmar horace greely schacht", "hjalmar schacht", "", "éva kovács", "éva kovacs"]
+    frame = spark.createDataFrame([(i, i, n) for i, n in enumerate(people)], "id long, rank long, form string")
+    got = {(r.src, r.dst) for r in candidate_pairs(frame).collect() if names.same_author_forms(r.x, r.y, 0.85)}
+    assert got == {(i, j) for i, j in itertools.combinations(range(len(people)), 2) if names.same_author_forms(people[i], people[j], 0.85)}
+
+    # names without a likeness make hardly any pair
+    many = spark.createDataFrame([(i, i, f"{letters(8)} {letters(10)}") for i in range(3000)], "id long, rank long, form string")
+    assert candidate_pairs(many).count() < 30
+
+
 def test_dates_in_titles_and_bodies(spark):
     from scriptorium.plans.page_rules import body_dates, title_dates
 
