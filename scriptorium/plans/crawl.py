@@ -56,10 +56,13 @@ def crawl(t):
 
 @query("gr03_resume", "SELECT event_id AS id FROM events WHERE event_type = 'error' UNION SELECT event_id + 1000000 FROM events WHERE event_type = 'view'")
 def resumed(t):
+    """Every page links to itself and to a child that the catalog lacks; ids of children are apart from those of pages, however many events there are."""
     status = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "view", "fetched").otherwise("new")
-    catalog = t.events.select(F.col("event_id").alias("id"), status.alias("status"))
-    links = t.events.select(F.col("event_id").alias("src"), F.explode(F.array(F.col("event_id") + 1000000, F.lit(0).cast("long"))).alias("dst"))
-    return resume(catalog, links)
+    address = lambda kind, n: F.struct(F.lit(kind).alias("kind"), n.alias("n"))
+    page = address("page", F.col("event_id"))
+    catalog = t.events.select(page.alias("id"), status.alias("status"))
+    links = t.events.select(page.alias("src"), F.explode(F.array(address("child", F.col("event_id") + 1000000), page)).alias("dst"))
+    return resume(catalog, links).select(F.col("id.n").alias("id")).distinct()
 
 
 @query("gr06_staged_discovery", r"WITH p AS (SELECT page_id, regexp_extract(url, '^https?://[^/]*/([a-z]{2})/', 1) AS lang, regexp_extract(url, '^https?://([^/]*)', 1) AS host FROM pages), h AS (SELECT lang, host FROM (SELECT DISTINCT lang, host FROM p) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY host) <= 5) SELECT lang, host, page_id FROM p JOIN h USING (lang, host) QUALIFY row_number() OVER (PARTITION BY lang, host ORDER BY page_id) <= 3")

@@ -286,6 +286,19 @@ def test_names_alike_by_last_word_or_as_a_whole_are_all_candidates(spark):
     assert candidate_pairs(many).count() < 30
 
 
+def test_resume_where_ids_of_pages_reach_those_of_children(spark, tmp_path):
+    from oracle import rows_of
+
+    from scriptorium import registry
+
+    registry.load()
+    rows = [(i, kind) for i, kind in [(0, "view"), (1, "error"), (7, "view"), (1_000_000, "click"), (1_000_001, "error"), (1_000_007, "view"), (2_000_007, "error")]]
+    spark.createDataFrame(rows, "event_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.QUERIES["gr03_resume"](spark, str(tmp_path))
+    want = {(i,) for i, kind in rows if kind == "error"} | {(i + 1_000_000,) for i, kind in rows if kind == "view"}
+    assert rows_of(got.columns, got.collect()) == sorted(want, key=repr)
+
+
 def test_dates_in_titles_and_bodies(spark):
     from scriptorium.plans.page_rules import body_dates, title_dates
 
