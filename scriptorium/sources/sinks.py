@@ -35,6 +35,11 @@ def cache_key(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*parts)), 256)
 
 
+def is_fresh(fetched_at: Column, now: Column, ttl_seconds: int) -> Column:
+    """Whether no more than a time to live has passed, to the microsecond."""
+    return fetched_at >= now - F.make_dt_interval(secs=F.lit(ttl_seconds))
+
+
 def fresh(cache: DataFrame, now: Column, ttl_seconds: int) -> DataFrame:
     """Cached rows younger than a time to live."""
-    return cache.filter(F.unix_timestamp(now) - F.unix_timestamp("fetched_at") <= ttl_seconds)
+    return cache.filter(is_fresh(F.col("fetched_at"), now, ttl_seconds))

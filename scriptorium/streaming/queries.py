@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import query
-from ..sources.sinks import fresh
+from ..sources.sinks import is_fresh
 from .incremental import keyed_append, read_stream, run_available, shared, status_counts
 
 
@@ -65,7 +65,5 @@ def commits(t):
 @query("st06_time_to_live", "SELECT event_id, ts >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS fresh FROM events")
 def time_to_live(t):
     """Cached rows that are still fresh an hour after they were fetched."""
-    now = t.events.agg(F.max("ts").cast("timestamp").alias("now"))  # one row
-    cache = t.events.select("event_id", F.col("ts").cast("timestamp").alias("fetched_at")).crossJoin(F.broadcast(now))
-    young = fresh(cache, F.col("now"), 3600).select("event_id", F.lit(True).alias("fresh"))
-    return t.events.select("event_id").join(young, "event_id", "left").select("event_id", F.coalesce("fresh", F.lit(False)).alias("fresh"))
+    now = t.events.agg(F.max("ts").alias("now"))  # one row
+    return t.events.crossJoin(F.broadcast(now)).select("event_id", is_fresh(F.col("ts"), F.col("now"), 3600).alias("fresh"))

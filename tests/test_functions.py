@@ -299,6 +299,22 @@ def test_resume_where_ids_of_pages_reach_those_of_children(spark, tmp_path):
     assert rows_of(got.columns, got.collect()) == sorted(want, key=repr)
 
 
+def test_time_to_live_to_the_microsecond(spark, tmp_path):
+    from datetime import datetime
+
+    from oracle import rows_of
+
+    from scriptorium import registry
+
+    registry.load()
+    at = lambda *x: datetime(2024, 1, 30, *x)
+    rows = [(1, at(23, 59, 25, 261702)), (2, at(22, 59, 25, 261702)), (3, at(22, 59, 25, 261701)), (4, at(22, 59, 25)), (5, at(22, 59, 26)), (6, None), (7, at(1)), (7, at(23))]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz").write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.QUERIES["st06_time_to_live"](spark, str(tmp_path))
+    want = [(1, True), (2, True), (3, False), (4, False), (5, True), (6, None), (7, False), (7, True)]
+    assert rows_of(["event_id", "fresh"], got.select("event_id", "fresh").collect()) == sorted(want, key=repr)
+
+
 def test_dates_in_titles_and_bodies(spark):
     from scriptorium.plans.page_rules import body_dates, title_dates
 
