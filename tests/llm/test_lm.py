@@ -5,6 +5,7 @@ from math import exp, isclose, log10
 import numpy as np
 import xxhash
 
+from scriptorium.llm import lm
 from scriptorium.llm.lm import GATE, GATE_HALF, ORDERS, REACH, SLOT_BITS, STEP, Block, Code, Mixer, count_bits, language_model_scores, prefix_code, refined, stretched, subtotals
 
 
@@ -186,3 +187,27 @@ def test_word_order_counts(spark):
     got = {r.doc_id: r for r in language_model_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     a, b = got[held[0]], got[held[1]]
     assert abs(a.base_score - b.base_score) < 1e-9 and a.score > b.score + 5
+
+
+def test_all_training_text_makes_code_and_weights(spark, monkeypatch):
+    # more documents, and longer ones, than any sample: each has bytes at its end that its beginning lacks
+    made, fit, rng = [], lm.fit, np.random.default_rng(6)
+    monkeypatch.setattr(lm, "fit", lambda *a: made.append(fit(*a)) or made[-1])
+    rows = [(d, " ".join([*(f"w{i}" for i in rng.integers(0, 99, 700)), *(f"q\u017e{d}x{i}" for i in range(60))])) for d in range(400)]
+    language_model_scores(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    (got,) = made
+    texts = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
+    words = [t.encode().split() for t in texts]
+    letters = np.bincount(np.frombuffer(b"".join(w + b" " for ws in words for w in ws), np.uint8), minlength=256)
+    assert (got.code.depth[got.code.escape + 1 :] == prefix_code(letters + 1)[0]).all()
+
+    block, seen, tables = Block.of(words, got.code), np.zeros(256, np.int32), [np.zeros(2 << SLOT_BITS, np.int32) for _ in range(ORDERS)]
+    count_bits(got.code, seen, tables, [block])
+    others = sum(len(ws) + 1 for ws in words) - int(got.code.counts.sum())
+    plain, without = zip(*map(stretched, [got.code.node_bits(np.concatenate([got.code.counts, [others], seen])), *map(subtotals, tables)]), strict=True)
+    want = Mixer(got.code, list(plain), list(without))
+    turns = [[ws for t, ws in zip(texts, words, strict=True) if lm.turn_of(t) == turn] for turn in range(lm.TURNS)]
+    assert all(turns) and sum(map(len, turns)) == len(words)  # each text is learned from once
+    for own in turns:
+        want.learn(Block.of(own, got.code))
+    assert np.allclose(got.weights, want.weights, atol=1e-3) and np.allclose(got.hits, want.hits, rtol=0.01, atol=5)
