@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import match_form, same_author, sort_name, variant_type
+from ..functions.names import match_form, same_author, similarity, sort_name, variant_type
 from ..registry import query
 from .graph import breadth_first, checkpointed, components
 
@@ -185,11 +185,31 @@ def candidate_pairs(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     return both.select(turn("p", "q", "src"), turn("q", "p", "dst"), turn("x", "y", "x"), turn("y", "x", "y"))
 
 
-def name_clusters(names: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """names(id, name, works) -> (id, component) over same-author links; earlier names by works desc, then name."""
+def settled(links: DataFrame, threshold: float) -> DataFrame:
+    """links(src, dst, x, y) of same_author() -> those of them, (src, dst), that do not rest on a chance likeness.
+
+    Among many names some last words are alike by chance. A link by a common last word or a lone word holds. One by
+    likeness alone holds between names with first names if they are alike as a whole, and for a short name, a lone word
+    or one with an initial, if no name with a first name has its very last word: else that one tells whom it names.
+    """
+    head = lambda c: F.slice(F.split(c, " "), 1, F.size(F.split(c, " ")) - 1)
+    named = lambda c: F.exists(head(c), lambda w: F.length(w) > 1)
+    short = lambda c: (F.size(head(c)) == 0) | F.exists(head(c), lambda w: F.length(w) == 1)
+    lone = lambda c, of: (F.size(head(c)) == 0) & F.array_contains(F.split(of, " "), F.col(c))
+    common = (F.element_at(F.split("x", " "), -1) == F.element_at(F.split("y", " "), -1)) | lone("x", "y") | lone("y", "x")
+    links = checkpointed(links.withColumn("common", common))
+    held, alike = links.filter("common"), links.filter("not common")
+    whole = alike.filter(named("x") & named("y")).filter(similarity("x", "y") >= threshold)
+    told = held.filter(~short("y")).select(F.col("src").alias("id")).union(held.filter(~short("x")).select("dst")).distinct()
+    ends = alike.filter(short("x")).select("src", "dst", F.col("src").alias("id")).union(alike.filter(short("y")).select("src", "dst", "dst"))
+    return held.select("src", "dst").union(whole.select("src", "dst")).union(ends.join(told, "id", "left_anti").select("src", "dst"))
+
+
+def name_clusters(names: DataFrame, threshold: float = 0.85, settle: bool = False) -> DataFrame:
+    """names(id, name, works) -> (id, component) over same-author links, or the settled ones; earlier names by works desc, then name."""
     ranked = checkpointed(names.select("id", match_form(F.col("name")).alias("form"), F.struct((-F.col("works")).alias("w"), "name", "id").alias("rank")))
-    links = candidate_pairs(ranked, threshold).filter(same_author(threshold)("x", "y")).select("src", "dst")
-    return components(ranked.select("id"), links)
+    links = candidate_pairs(ranked, threshold).filter(same_author(threshold)("x", "y"))
+    return components(ranked.select("id"), settled(links, threshold) if settle else links.select("src", "dst"))
 
 
 _LETTERS = "bcdfghklmnprstvz"
@@ -215,7 +235,7 @@ def _names(t) -> DataFrame:
 def clusters(t):
     """Proposed merges: each cluster of two or more names with its canonical name and summed works."""
     names = checkpointed(_names(t))
-    rows = names.join(name_clusters(names), "id")
+    rows = names.join(name_clusters(names, settle=True), "id")
     best = F.max_by("name", F.struct(F.length("name"), "works", "name"))
     return rows.groupBy("component").agg(F.count("*").alias("n"), best.alias("canonical"), F.sum("works").alias("works"), F.array_join(F.array_sort(F.collect_list("name")), "|").alias("names")).filter("n > 1").drop("component")
 
