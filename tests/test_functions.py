@@ -296,7 +296,7 @@ def test_settled_clusters_hold_no_chance_likeness(spark):
     assert got(settle=True) == [0, 0, 0, 3, 3, 5, 5, 7, 8, 7]  # two first names are two authors; K. Petersan can only be Karl
 
 
-@pytest.mark.parametrize("name", ["gr04_name_clusters"])
+@pytest.mark.parametrize("name", ["gr04_name_clusters", "q27_merge_proposal"])
 def test_authors_with_last_names_alike_by_chance(spark, tmp_path, name):
     from oracle import rows_of
 
